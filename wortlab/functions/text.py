@@ -12,11 +12,18 @@ from pyspark.sql import functions as F
 
 # Python's ``str.split()`` whitespace set, written as a regex class that Java
 # and RE2 read the same way (tab..CR, \x1c-\x1f, \x85 and the Unicode Z classes).
-WHITESPACE = r"[\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}]+"
+WS_CLASS = r"\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}"
+WHITESPACE = f"[{WS_CLASS}]+"
+NON_WHITESPACE_RUN = f"[^{WS_CLASS}]+"
 # token edges that are not letters or digits (punctuation glued to a word)
 EDGE_PUNCT = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$"
 # a candidate loanword: only ASCII letters, at least four of them
 ALPHA_WORD = r"^[A-Za-z]{4,}$"
+# The three rules above in one pass over the text (Java regex): a whole
+# whitespace-delimited token made of optional punctuation edges around 4+
+# ASCII letters; group 1 is the trimmed word.
+CANDIDATE_TOKEN = (rf"(?<![^{WS_CLASS}])[^\p{{L}}\p{{N}}{WS_CLASS}]*([A-Za-z]{{4,}})"
+                   rf"[^\p{{L}}\p{{N}}{WS_CLASS}]*(?![^{WS_CLASS}])")
 
 
 def _c(c) -> Column:
@@ -29,8 +36,9 @@ def whitespace_tokens(text) -> Column:
 
 
 def word_count(text) -> Column:
-    """X1 ``len(text.split())``; empty or null text counts 0."""
-    return F.size(whitespace_tokens(text))
+    """X1 ``len(text.split())``; empty or null text counts 0 (counts the
+    non-whitespace runs without materialising the token array)."""
+    return F.coalesce(F.regexp_count(_c(text), F.lit(NON_WHITESPACE_RUN)), F.lit(0)).cast("int")
 
 
 def lower_trim(c) -> Column:

@@ -21,25 +21,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import (ALPHA_WORD, EDGE_PUNCT, spark_stop_words,
-                              whitespace_tokens, word_count)
+from ..functions.text import CANDIDATE_TOKEN, spark_stop_words, word_count
 
 
 def candidate_words(text) -> Column:
     """L1 as an array expression: ordered candidate words of one text.
 
-    Each whitespace token loses its non letter/digit edges; it is kept when
-    it is 4+ ASCII letters; it is lower-cased; German stop words drop out
-    (the stop list is a fixed 231-word set: ``isin`` becomes a hash set).
-    Elements are structs (pos, word), pos being the token index in the text.
+    A whitespace token counts when, without its non letter/digit edges, it is
+    4+ ASCII letters; it is lower-cased; German stop words drop out (the stop
+    list is a fixed 231-word set: ``isin`` becomes a hash set).  One regex
+    pass over the text finds the tokens.  Elements are structs (pos, word);
+    pos is the index among candidates, which keeps the text order.
     """
     stops = list(spark_stop_words("german"))
-    toks = F.transform(whitespace_tokens(text),
-                       lambda t, i: F.struct(i.alias("pos"),
-                                             F.regexp_replace(t, EDGE_PUNCT, "").alias("tok")))
-    keep = F.filter(toks, lambda s: s["tok"].rlike(ALPHA_WORD))
-    low = F.transform(keep, lambda s: F.struct(s["pos"].alias("pos"), F.lower(s["tok"]).alias("word")))
-    return F.filter(low, lambda s: ~s["word"].isin(stops))
+    words = F.transform(F.regexp_extract_all(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")),
+                                             F.lit(CANDIDATE_TOKEN), 1), lambda w: F.lower(w))
+    return F.filter(F.transform(words, lambda w, i: F.struct(i.alias("pos"), w.alias("word"))),
+                    lambda s: ~s["word"].isin(stops))
 
 
 def tokenize_words(df: DataFrame, id_col: str = "article_id", text_col: str = "text") -> DataFrame:
@@ -74,30 +72,35 @@ def loanword_table(articles: DataFrame, lexicon: DataFrame, id_col: str = "artic
     any loanword keep a row (explode_outer), so their count is 0, not missing.
     Every other column of ``articles`` is carried through unchanged.
     """
-    keep = [c for c in articles.columns if c != text_col]
-    base = articles.select(*keep, word_count(text_col).alias("word_count"),
-                           F.explode_outer(candidate_words(text_col)).alias("t"))
+    keep = [c for c in articles.columns if c not in (text_col, id_col)]
+    # word count and candidate array are computed once per article, before
+    # the explode; the text itself never reaches a shuffle
+    per_doc = articles.select(id_col, *keep, word_count(text_col).alias("word_count"),
+                              candidate_words(text_col).alias("_cands"))
+    base = per_doc.select(id_col, *keep, "word_count", F.explode_outer("_cands").alias("t"))
     lex = lexicon.select(F.col("word").alias("_w"), F.lit(True).alias("_en"))
     tok = (base.join(lex, F.col("t.word") == F.col("_w"), "left")
-               .select(*keep, "word_count", F.col("t.pos").alias("pos"),
+               .select(id_col, *keep, "word_count", F.col("t.pos").alias("pos"),
                        F.when(F.col("_en"), F.col("t.word")).alias("loanword")))
-    doc_keys = keep + ["word_count"]
+    # per-article columns are part of the key (functionally dependent on the
+    # id): plain hash aggregation, no sort-based fallback for string buffers
+    keys = [id_col, *keep, "word_count"]
     if not with_lists:
-        out = tok.groupBy(*doc_keys).agg(F.count("loanword").alias("loanword_count"))
+        out = tok.groupBy(*keys).agg(F.count("loanword").alias("loanword_count"))
     else:
         # first fold per (article, word): count, first position, all positions;
         # then per article: the per-word rows are few, sorting them is cheap.
-        per_word = (tok.groupBy(*doc_keys, "loanword")
+        per_word = (tok.groupBy(*keys, "loanword")
                        .agg(F.count("pos").alias("n"), F.min("pos").alias("first"),
                             F.collect_list("pos").alias("ps")))
         entry = F.when(F.col("loanword").isNotNull(),
                        F.struct(F.col("n"), F.col("first"), F.col("loanword").alias("w"), F.col("ps")))
-        out = per_word.groupBy(*doc_keys).agg(F.collect_list(entry).alias("_e"))
+        out = per_word.groupBy(*keys).agg(F.collect_list(entry).alias("_e"))
         occ = F.flatten(F.transform(F.col("_e"),
                                     lambda e: F.transform(e["ps"], lambda p: F.struct(p.alias("p"), e["w"].alias("w")))))
         ranked = F.array_sort(F.col("_e"), lambda a, b: F.when(a["n"] != b["n"], F.when(a["n"] > b["n"], -1).otherwise(1))
                               .otherwise(F.when(a["first"] < b["first"], -1).when(a["first"] > b["first"], 1).otherwise(0)))
-        out = out.select(*doc_keys,
+        out = out.select(id_col, *keep, "word_count",
                          F.transform(F.array_sort(occ), lambda x: x["w"]).alias("loanwords"),
                          F.array_sort(F.transform(F.col("_e"), lambda e: e["w"])).alias("all_loanwords"),
                          F.transform(F.slice(ranked, 1, top_n), lambda e: e["w"]).alias("top_loanwords"))

@@ -19,25 +19,44 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def documents_with_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Article stand-in: ``documents`` left join ``labels``.
-
-    article_id = doc_id, year = 2011 + doc_id % 15, topic = source,
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a text-heavy scan over the cluster when the files give fewer
+    splits than there are task slots (a single-row-group file is one task).
+    Hash partitioning on the row id is deterministic under task retry.  At
+    scale the scan already has many splits and nothing is added."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots * 2, key)
+
+
+def documents_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` as articles: article_id = doc_id, year = 2011 + doc_id % 15,
+    topic = source (plus lang, text)."""
+    docs = spread(load(spark, sf_dir, "documents"), "doc_id")
+    return docs.select(F.col("doc_id").alias("article_id"),
+                       (F.lit(2011) + F.col("doc_id") % 15).cast("int").alias("year"),
+                       F.col("source").alias("topic"), "lang", "text")
+
+
+def sentiment_label(toxic, quality):
+    return (F.when(toxic == 1, "negative").when(quality == 1, "positive")
+             .when(toxic.isNotNull(), "neutral"))
+
+
+def label_columns(df: DataFrame, spark: SparkSession, sf_dir: str, id_col: str = "article_id") -> DataFrame:
+    """Attach quality, toxic and the derived sentiment from ``labels``
+    (at most one label row per document: the left join keeps the count).
     sentiment = negative (toxic), positive (quality), neutral (labelled,
-    neither), null (unlabelled - real nulls for the profiling operators).
-    ``labels`` has at most one row per document, so the left join keeps
-    the row count; AQE broadcasts it once its measured size is small.
-    """
-    docs = load(spark, sf_dir, "documents")
-    labels = load(spark, sf_dir, "labels")
-    return (docs.join(labels, "doc_id", "left")
-            .select(F.col("doc_id").alias("article_id"),
-                    (F.lit(2011) + F.col("doc_id") % 15).cast("int").alias("year"),
-                    F.when(F.col("toxic") == 1, "negative")
-                     .when(F.col("quality") == 1, "positive")
-                     .when(F.col("toxic").isNotNull(), "neutral").alias("sentiment"),
-                    F.col("source").alias("topic"),
-                    "lang", "text", "quality", "toxic"))
+    neither), null (unlabelled - real nulls for the profiling operators)."""
+    labels = load(spark, sf_dir, "labels").select(F.col("doc_id").alias(id_col), "quality", "toxic")
+    return (df.join(labels, id_col, "left")
+              .withColumn("sentiment", sentiment_label(F.col("toxic"), F.col("quality"))))
+
+
+def documents_with_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article stand-in with every column: ``documents`` left join ``labels``."""
+    return label_columns(documents_base(spark, sf_dir), spark, sf_dir)
 
 
 def decorated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
