@@ -53,3 +53,92 @@ ARTICLE_CTES = ",\n".join([DOC, WTOK, CAND, LEX, LOANTOK, ARTICLES])
 
 def with_articles(body: str) -> str:
     return f"WITH {ARTICLE_CTES}\n{body}"
+
+
+# ---------------------------------------------------------------- pages
+from ..functions import html as _H  # noqa: E402
+
+
+def decode(expr: str) -> str:
+    out = expr
+    for k, v in _H.ENTITIES:
+        out = f"replace({out}, {_q(k)}, {_q(v)})"
+    return out
+
+
+DPAGES = """dpages AS (
+  SELECT page_id,
+         CASE WHEN page_id % 4 = 2 THEN 'https://www.example.com/' || y || '/a' || CAST(page_id AS VARCHAR) || '.html' ELSE url END AS url,
+         CASE WHEN page_id % 10 = 7 THEN 'application/pdf' ELSE 'text/html; charset=utf-8' END AS content_type,
+         replace(html, '<head>', '<head>'
+           || CASE WHEN page_id % 4 = 0 THEN '<meta property="article:published_time" content="' || y || '-05-03T08:00:00">' ELSE '' END
+           || CASE WHEN page_id % 4 = 1 THEN '<script type="application/ld+json">{"datePublished":"' || y || '-06-01T00:00:00"}</script>' ELSE '' END
+           || CASE WHEN page_id % 5 = 0 THEN '<meta property="og:title" content=" OG headline ">' ELSE '' END) AS html
+  FROM (SELECT *, CAST(2016 + page_id % 8 AS VARCHAR) AS y FROM pages))"""
+
+
+def paragraphs_sql(html: str) -> str:
+    clean = f"regexp_replace(coalesce({html}, ''), {_q(_H.DROP_RE)}, '', 'g')"
+    return (f"list_transform(regexp_split_to_array({clean}, {_q(_H.P_OPEN_RE)})[2:], "
+            f"lambda p: regexp_replace(p, {_q(_H.P_END_RE)}, ''))")
+
+
+def strip_tags_sql(expr: str) -> str:
+    return f"regexp_replace({expr}, {_q(_H.TAG_RE)}, '', 'g')"
+
+
+def text_sql(ps: str) -> str:
+    return f"array_to_string(list_transform({ps}, lambda p: {decode(strip_tags_sql('p'))}), ' ')"
+
+
+def meta_date_sql(html: str) -> str:
+    tag = f"regexp_extract({html}, {_q(_H.META_DATE_TAG_RE)}, 0)"
+    return f"CASE WHEN {tag} <> '' THEN split_part(regexp_extract({tag}, {_q(_H.CONTENT_ATTR_RE)}, 1), 'T', 1) END"
+
+
+def jsonld_date_sql(html: str) -> str:
+    bodies = f"regexp_extract_all({html}, {_q(_H.JSONLD_RE)}, 1)"
+    dates = (f"list_filter(list_transform({bodies}, lambda b: CASE WHEN starts_with(trim(b), '{{') AND json_valid(b) "
+             f"THEN json_extract_string(b, '$.datePublished') END), lambda d: d IS NOT NULL)")
+    return f"split_part({dates}[1], 'T', 1)"
+
+
+def url_year_sql(url: str) -> str:
+    return f"nullif(regexp_extract({url}, {_q(_H.URL_YEAR_RE)}, 1), '')"
+
+
+def headline_sql(html: str) -> str:
+    og_tag = f"regexp_extract({html}, {_q(_H.OG_TITLE_TAG_RE)}, 0)"
+    og_c = f"regexp_extract({og_tag}, {_q(_H.CONTENT_ATTR_RE)}, 1)"
+    strip = lambda e: f"trim({decode(strip_tags_sql(e))})"
+    title = f"CASE WHEN regexp_matches({html}, {_q(_H.TITLE_RE)}) THEN {strip(f'regexp_extract({html}, {_q(_H.TITLE_RE)}, 1)')} END"
+    h1 = f"CASE WHEN regexp_matches({html}, {_q(_H.H1_RE)}) THEN {strip(f'regexp_extract({html}, {_q(_H.H1_RE)}, 1)')} END"
+    return f"coalesce(CASE WHEN {og_c} <> '' THEN trim({og_c}) END, {title}, {h1})"
+
+
+def authority_sql(url: str) -> str:
+    return f"regexp_extract({url}, {_q(_H.AUTHORITY_RE)}, 1)"
+
+
+def date_sql(html: str, url: str) -> str:
+    return f"coalesce(nullif({meta_date_sql(html)}, ''), nullif({jsonld_date_sql(html)}, ''), {url_year_sql(url)})"
+
+
+def words_sql(text: str) -> str:
+    return f"len(list_filter(regexp_split_to_array(coalesce({text}, ''), '{WHITESPACE}'), lambda x: x <> ''))"
+
+
+PARSED = f"""parsed AS (
+  SELECT page_id, url, html, paragraphs AS _ps, len(paragraphs) AS paragraphs FROM (
+    SELECT page_id, url, html, {paragraphs_sql('html')} AS paragraphs FROM dpages
+    WHERE contains(coalesce(content_type, ''), 'text/html'))
+  WHERE len(paragraphs) >= 5),
+texted AS (SELECT *, {text_sql('_ps')} AS text FROM parsed WHERE trim({text_sql('_ps')}) <> ''),
+built AS (
+  SELECT page_id, url, replace({authority_sql('url')}, 'www.', '') AS source_site,
+         split_part({authority_sql('url')}, '.', 1) AS domain, {date_sql('html', 'url')} AS date,
+         TRY_CAST(split_part({date_sql('html', 'url')}, '-', 1) AS INTEGER) AS year,
+         text, {headline_sql('html')} AS headline, CAST({words_sql('text')} AS INTEGER) AS word_count,
+         CAST(paragraphs AS INTEGER) AS paragraphs
+  FROM texted),
+built_articles AS (SELECT * FROM built WHERE date IS NULL OR date = '' OR year IS NOT NULL)"""
