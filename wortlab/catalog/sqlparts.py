@@ -142,3 +142,74 @@ built AS (
          CAST(paragraphs AS INTEGER) AS paragraphs
   FROM texted),
 built_articles AS (SELECT * FROM built WHERE date IS NULL OR date = '' OR year IS NOT NULL)"""
+
+
+# ---------------------------------------------------------------- language profiles
+CAND_IDX = """candi AS (SELECT article_id, lang, CAST(row_number() OVER (PARTITION BY article_id ORDER BY pos) - 1 AS INTEGER) AS pos, word FROM cand)"""
+
+WORD_LANG = """per AS (SELECT word, lang, count(*) AS n FROM cand GROUP BY 1, 2),
+tot AS (SELECT lang, count(*) AS tot FROM cand GROUP BY 1),
+wlang AS (SELECT word, lang FROM (
+  SELECT per.word, per.lang, row_number() OVER (PARTITION BY per.word ORDER BY per.n / tot.tot DESC, per.lang ASC) AS rk
+  FROM per JOIN tot USING (lang)) WHERE rk = 1)"""
+
+
+def grams_sql(word: str) -> str:
+    p = f"('_' || {word} || '_')"
+    parts = [f"list_transform(range(1, length({p}) - {n} + 2), lambda i: substring({p}, i, {n}))" for n in (1, 2, 3)]
+    return f"list_concat({', '.join(parts)})"
+
+
+NGRAM_PROFILE = f"""g AS (SELECT lang, unnest({grams_sql('word')}) AS gram FROM cand),
+gc AS (SELECT lang, gram, count(*) AS c FROM g GROUP BY 1, 2),
+gt AS (SELECT lang, sum(c) AS tot FROM gc GROUP BY 1),
+gv AS (SELECT count(DISTINCT gram) AS v FROM gc),
+profile AS (SELECT lang, gram, ln((c + 1) / (tot + v)) AS logp FROM gc JOIN gt USING (lang), gv
+            UNION ALL SELECT lang, NULL AS gram, ln(1.0 / (tot + v)) AS logp FROM gt, gv)"""
+
+
+# ---------------------------------------------------------------- rule back end
+from ..operators import enrich as _M  # noqa: E402
+
+
+def _inlist(words) -> str:
+    return ", ".join(_q(w) for w in words)
+
+
+def rule_tokens_sql(text: str) -> str:
+    return f"regexp_extract_all(lower(coalesce({text}, '')), {_q(_M.WORD_RE)})"
+
+
+def rule_sentiment_sql(text: str, max_chars: int | None = _M.SENTIMENT_CHARS) -> str:
+    t = f"left(coalesce({text}, ''), {max_chars})" if max_chars else f"coalesce({text}, '')"
+    toks = rule_tokens_sql(t)
+    score = (f"(len(list_filter({toks}, lambda x: x IN ({_inlist(_M.POSITIVE)}))) - "
+             f"len(list_filter({toks}, lambda x: x IN ({_inlist(_M.NEGATIVE)}))))")
+    return f"CASE WHEN {score} > 0 THEN 'positive' WHEN {score} < 0 THEN 'negative' ELSE 'neutral' END"
+
+
+def rule_topic_sql(text: str) -> str:
+    toks = rule_tokens_sql(text)
+    hits = {c: f"len(list_filter({toks}, lambda x: x IN ({_inlist(_M.TOPIC_WORDS[c])})))" for c in _M.TOPICS}
+    m = f"greatest({', '.join(hits.values())})"
+    return "CASE " + " ".join(f"WHEN {hits[c]} = {m} THEN '{c}'" for c in _M.TOPICS) + " END"
+
+
+def rule_summary_sql(text: str) -> str:
+    sents = f"regexp_extract_all(coalesce({text}, ''), {_q(_M.SENTENCE_RE)})"
+    trimmed = f"list_filter(list_transform({sents}, lambda s: regexp_replace(s, '^\\s+|\\s+$', '', 'g')), lambda s: s <> '')"
+    return f"array_to_string(({trimmed})[1:3], ' ')"
+
+
+def rule_countries_sql(text: str) -> str:
+    padded = f"(' ' || array_to_string({rule_tokens_sql(text)}, ' ') || ' ')"
+    return f"list_filter([{_inlist(_M.COUNTRIES)}], lambda c: contains({padded}, ' ' || lower(c) || ' '))"
+
+
+ENRICH_IN = """enrich_in AS (
+  SELECT a.article_id, a.loanword_count, d.text, coalesce(l.lw, []) AS lw, t.top3
+  FROM articles a JOIN documents d ON d.doc_id = a.article_id
+  LEFT JOIN (SELECT article_id, list(word ORDER BY pos) AS lw FROM loantok GROUP BY article_id) l USING (article_id)
+  LEFT JOIN (SELECT article_id, string_agg(word, ', ' ORDER BY rk) AS top3 FROM (
+      SELECT article_id, word, row_number() OVER (PARTITION BY article_id ORDER BY count(*) DESC, min(pos)) AS rk
+      FROM loantok GROUP BY article_id, word) WHERE rk <= 3 GROUP BY article_id) t USING (article_id))"""

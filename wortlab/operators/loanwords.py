@@ -36,8 +36,8 @@ def candidate_words(text) -> Column:
     stops = list(spark_stop_words("german"))
     words = F.transform(F.regexp_extract_all(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")),
                                              F.lit(CANDIDATE_TOKEN), 1), lambda w: F.lower(w))
-    return F.filter(F.transform(words, lambda w, i: F.struct(i.alias("pos"), w.alias("word"))),
-                    lambda s: ~s["word"].isin(stops))
+    kept = F.filter(words, lambda w: ~w.isin(stops))
+    return F.transform(kept, lambda w, i: F.struct(i.alias("pos"), w.alias("word")))
 
 
 def tokenize_words(df: DataFrame, id_col: str = "article_id", text_col: str = "text") -> DataFrame:
