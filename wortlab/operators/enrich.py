@@ -119,10 +119,12 @@ def register_backend(name: str, factory: Callable[[], object]) -> None:
     _FACTORIES[name] = factory
 
 
-def get_backend(name: str):
-    """One instance per Python worker process (created on first use)."""
+def get_backend(name: str, factory: Callable[[], object] | None = None):
+    """One instance per Python worker process (created on first use).  The
+    factory is resolved on the driver and shipped with the task closure, so
+    back ends registered in the driver work on every executor."""
     if name not in _INSTANCES:
-        _INSTANCES[name] = _FACTORIES[name]()
+        _INSTANCES[name] = (factory or _FACTORIES[name])()
     return _INSTANCES[name]
 
 
@@ -164,9 +166,10 @@ def infer(df: DataFrame, tasks: dict[str, str], backend: str = "rules", text_col
     (J6: the answers are attached to their rows inside the same batch)."""
     out_schema = StructType(df.schema.fields + [StructField(c, StringType(), True) for c in tasks])
     cols = df.columns
+    factory = _FACTORIES[backend]
 
     def run(batches):
-        be = get_backend(backend)
+        be = get_backend(backend, factory)
         for pdf in batches:
             view = pd.DataFrame({
                 "text": pdf[text_col].fillna("").astype(str).str.slice(0, max_chars) if max_chars
@@ -200,9 +203,11 @@ def sentiment(df: DataFrame, text_col: str = "text", out_col: str = "sentiment",
 
 def sentiment_rowwise(text_col: str = "text", backend: str = "rules", max_chars: int | None = SENTIMENT_CHARS):
     """M3 the same as a column function (Arrow-batched pandas UDF)."""
+    factory = _FACTORIES[backend]
+
     @F.pandas_udf(StringType())
     def label(texts: pd.Series) -> pd.Series:
-        be = get_backend(backend)
+        be = get_backend(backend, factory)
         t = texts.fillna("").astype(str)
         if max_chars:
             t = t.str.slice(0, max_chars)
