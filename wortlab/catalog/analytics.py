@@ -310,3 +310,89 @@ def head(spark, sf_dir):
     """T5 first 5 rows by id."""
     a = loanword_articles(spark, sf_dir)
     return finish(a.select("article_id", "year", "sentiment", "loanword_density").orderBy("article_id").limit(5))
+
+
+# ------------------------------------------------------------------ joins, sorts, exports
+
+@query("join_forecast_actuals", with_articles(f""", {_YEARLY}, {_FIT}
+SELECT CAST(y AS INTEGER) AS year, yearly.m IS NULL AS future
+FROM range({FORECAST_YEARS[0]}, {FORECAST_YEARS[1]}) t(y) CROSS JOIN fit
+LEFT JOIN (SELECT * FROM yearly WHERE year BETWEEN {FIT_YEARS[0]} AND {FIT_YEARS[1]}) yearly ON yearly.year = t.y""")
+       .replace(")\n, yearly", "),\nyearly"))
+def join_forecast_actuals(spark, sf_dir):
+    """J1 left equi join of the 12 forecast years with the actual means:
+    years without an actual (outside the fitted window) stay, with null."""
+    yearly, fit = _fit(spark, sf_dir)
+    fc = S.linear_forecast(fit, *FORECAST_YEARS, x="year", out="forecast")
+    j = fc.join(yearly.where(F.col("year").between(*FIT_YEARS)), "year", "left")
+    return j.select("year", F.col("m").isNull().alias("future"))
+
+
+@query("bin_lookup", """WITH eg AS (SELECT [0.0, 50.0, 100.0, 200.0, 400.0, 500.0] AS e)
+SELECT event_id, CASE WHEN value > e[1] AND value <= e[6] THEN 1 + len(list_filter(e[2:5], lambda x: x < value)) END AS bin
+FROM events, eg""")
+def bin_lookup(spark, sf_dir):
+    """J4 range lookup: right-closed bin of each value from an edge array
+    (one array expression per row, no range join)."""
+    ev = load(spark, sf_dir, "events")
+    e = [0.0, 50.0, 100.0, 200.0, 400.0, 500.0]
+    v = F.col("value")
+    inner = F.array(*[F.lit(x) for x in e[1:-1]])
+    return ev.select("event_id", F.when((v > e[0]) & (v <= e[-1]), S.bin_index(v, inner)).alias("bin"))
+
+
+@query("dense_bins", "WITH " + _hist_sql("events", "value", 10).replace("printf('%.6f - %.6f', lo, hi) AS label,", "")
+       .replace(f"{r('lo', 'lo')}, {r('hi', 'hi')}, ", ""))
+def dense_bins(spark, sf_dir):
+    """J5 bin table left join counts: empty bins appear with count 0."""
+    h = S.equal_width_histogram(load(spark, sf_dir, "events"), "value", 10)
+    return h.select("bin", "count")
+
+
+@query("sort_by_key", f"""SELECT CAST(year(o_orderdate) AS INTEGER) AS year, {r('avg(o_totalprice)', 'o_totalprice')}
+FROM orders GROUP BY 1 ORDER BY 1""")
+def sort_by_key(spark, sf_dir):
+    """T2 group result in key order."""
+    o = load(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), "o_totalprice")
+    return finish(S.group_mean(o, "year", "o_totalprice"))
+
+
+@query("sort_bins", "WITH " + _hist_sql("events", "value", 20))
+def sort_bins(spark, sf_dir):
+    """T4 bins in bin order (not label order), 20 bins."""
+    return finish(S.equal_width_histogram(load(spark, sf_dir, "events"), "value", 20, "%.6f - %.6f"))
+
+
+@query("broadcast_scalar", f"""WITH st AS (SELECT avg(l_extendedprice) AS m FROM lineitem)
+SELECT l_orderkey, l_linenumber, {r('l_extendedprice - m', 'centered')} FROM lineitem, st""")
+def broadcast_scalar(spark, sf_dir):
+    """J8 a table-wide scalar applied to every row (one-row broadcast)."""
+    li = load(spark, sf_dir, "lineitem")
+    st = li.agg(F.avg("l_extendedprice").alias("m"))
+    return finish(li.crossJoin(F.broadcast(st))
+                    .select("l_orderkey", "l_linenumber", (F.col("l_extendedprice") - F.col("m")).alias("centered")))
+
+
+@query("chart_exports", with_articles(f""",
+yearly AS (SELECT year FROM articles WHERE year IS NOT NULL GROUP BY year),
+topics AS (SELECT topic FROM articles WHERE topic IS NOT NULL GROUP BY topic),
+sents AS (SELECT sentiment FROM articles WHERE sentiment IS NOT NULL GROUP BY sentiment),
+words AS (SELECT word FROM loantok GROUP BY word)
+SELECT 'loanword_density_by_year' AS chart, (SELECT count(*) FROM yearly) AS rows
+UNION ALL SELECT 'loanword_density_confidence', (SELECT count(*) FROM yearly)
+UNION ALL SELECT 'loanword_density_histogram', 10
+UNION ALL SELECT 'loanword_density_histogram_20', 20
+UNION ALL SELECT 'loanword_density_histogram_bins10', 10
+UNION ALL SELECT 'loanword_density_by_sentiment', (SELECT count(*) FROM sents)
+UNION ALL SELECT 'loanword_density_by_topic', (SELECT count(*) FROM topics)
+UNION ALL SELECT 'sentiment_pivot', (SELECT count(*) FROM yearly)
+UNION ALL SELECT 'top_loanwords', least(20, (SELECT count(*) FROM words))
+UNION ALL SELECT 'forecast', {FORECAST_YEARS[1] - FORECAST_YEARS[0]}""").replace(")\n,\nyearly", "),\nyearly"))
+def chart_exports(spark, sf_dir):
+    """C6 every chart CSV of the notebook from one checkpointed article
+    table -> (chart, rows written)."""
+    from ..plans.crawl import fresh_dir
+    from ..plans.exports import chart_exports as run
+    from ..session import ensure_checkpoint_dir
+    out = fresh_dir(ensure_checkpoint_dir(spark), "charts")
+    return run(spark, sf_dir, out).select("chart", F.col("rows").cast("bigint").alias("rows"))

@@ -189,3 +189,16 @@ def crawl_resume_q(spark, sf_dir):
     crawl_resume(spark, urls.where(F.crc32("url") % 3 == 0), pages, path)     # interrupted first run
     crawl_resume(spark, urls, pages, path)                                     # resumed run
     return spark.read.parquet(path).select("url", "headline", "word_count")
+
+
+@query("collect_urls", "SELECT url FROM pages WHERE CAST(floor(page_id / 50) AS BIGINT) % 3 <> 2")
+def collect_urls(spark, sf_dir):
+    """U2 URL lists of the selected sitemaps concatenated (union all)."""
+    from functools import reduce
+    from ..sources import sitemaps as SM
+    from ..sources.tables import sitemap_tables
+    idx, sms = sitemap_tables(spark, sf_dir)
+    locs = SM.sitemap_locs(sms)
+    chosen = SM.sitemap_index_urls(idx).select("sitemap_url")
+    parts = [locs.where(F.col("pos") % 2 == k).join(chosen, "sitemap_url", "left_semi").select("url") for k in (0, 1)]
+    return reduce(lambda a, b: a.unionAll(b), parts)

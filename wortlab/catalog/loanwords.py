@@ -154,3 +154,13 @@ def array_difference_keep(spark, sf_dir):
     a = loanword_articles(spark, sf_dir, with_lists=True)
     rest = X.array_difference_keep("loanwords", F.slice("loanwords", 1, 1))
     return a.select("article_id", F.array_join(rest, " ").alias("rest"))
+
+
+@query("lexicon_semi_join", _w("words AS (SELECT DISTINCT word FROM cand WHERE lang = 'de')",
+                               "SELECT word FROM words SEMI JOIN lex USING (word)"))
+def lexicon_semi_join(spark, sf_dir):
+    """J7 distinct German candidate words that are in the English
+    vocabulary (semi join: AQE broadcasts the vocabulary if it measured
+    small, else a sort-merge semi join)."""
+    words = L.tokenize_words(_target(spark, sf_dir)).select("word").distinct()
+    return words.join(english_lexicon(spark, sf_dir), "word", "left_semi")

@@ -67,3 +67,11 @@ def load_progress(spark: SparkSession, path: str, list_cols=("excluded_loanwords
     """S11 read a progress table whose list columns are JSON / list text."""
     df = spark.read.options(**CSV_OPTIONS).csv(path)
     return df.select(*[parse_list(c).alias(c) if c in list_cols else F.col(c) for c in df.columns])
+
+
+def require_columns(df: DataFrame, columns) -> DataFrame:
+    """S10 stop early (before any job) when required columns are missing."""
+    missing = [c for c in columns if c not in df.columns]
+    if missing:
+        raise ValueError(f"missing required column(s): {', '.join(missing)}")
+    return df
