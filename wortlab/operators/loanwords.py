@@ -18,24 +18,44 @@ otherwise, so no vocabulary is ever broadcast on faith.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import CANDIDATE_TOKEN, spark_stop_words, word_count
 
 
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+@functools.lru_cache(maxsize=None)
+def _candidate_sql() -> str:
+    stops = ", ".join(_sql_str(w) for w in spark_stop_words("german"))
+    return (f"transform(filter(transform(regexp_extract_all(coalesce(__TEXT__, ''), {_sql_str(CANDIDATE_TOKEN)}, 1), "
+            f"w -> lower(w)), w -> NOT w IN ({stops})), (w, i) -> named_struct('pos', i, 'word', w))")
+
+
 def candidate_words(text) -> Column:
     """L1 as an array expression: ordered candidate words of one text.
 
     A whitespace token counts when, without its non letter/digit edges, it is
     4+ ASCII letters; it is lower-cased; German stop words drop out (the stop
-    list is a fixed 231-word set: ``isin`` becomes a hash set).  One regex
-    pass over the text finds the tokens.  Elements are structs (pos, word);
-    pos is the index among candidates, which keeps the text order.
+    list is a fixed 231-word set: ``IN`` becomes a hash set).  One regex pass
+    over the text finds the tokens.  Elements are structs (pos, word); pos is
+    the index among candidates, which keeps the text order.  Written as one
+    SQL expression: a single call to build, however long the stop list.
     """
+    if not isinstance(text, str):
+        return _candidate_col(text)
+    return F.expr(_candidate_sql().replace("__TEXT__", f"`{text}`"))
+
+
+def _candidate_col(text: Column) -> Column:
     stops = list(spark_stop_words("german"))
-    words = F.transform(F.regexp_extract_all(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")),
-                                             F.lit(CANDIDATE_TOKEN), 1), lambda w: F.lower(w))
+    words = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(CANDIDATE_TOKEN), 1),
+                        lambda w: F.lower(w))
     kept = F.filter(words, lambda w: ~w.isin(stops))
     return F.transform(kept, lambda w, i: F.struct(i.alias("pos"), w.alias("word")))
 
