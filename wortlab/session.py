@@ -38,10 +38,42 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    ensure_ready(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``wortlab`` importable in the Python workers (the enrichment
+    stages pickle references to its functions).  Deployments normally pass
+    the package with ``--py-files``; this does the same from the driver: the
+    package is zipped once per process and handed to ``addPyFile``, and Spark
+    copies it to every executor."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, path = tempfile.mkstemp(prefix="wortlab-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
+def ensure_ready(spark: SparkSession) -> None:
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
