@@ -39,11 +39,13 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     scale the input has many files and nothing is added.  The decision
     looks at the file list only (no planning of the whole query) and is
     remembered per input."""
-    files = tuple(sorted(df.inputFiles()))
+    files = df._jdf.inputFiles()          # JVM array: only its length and first name cross over
+    n = len(files)
+    hint_key = (n, files[0] if n else "")
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if files not in _SPLIT_HINT:
-        _SPLIT_HINT[files] = len(files) < slots
-    return df.repartition(slots * 2, key) if _SPLIT_HINT[files] else df
+    if hint_key not in _SPLIT_HINT:
+        _SPLIT_HINT[hint_key] = n < slots
+    return df.repartition(slots * 2, key) if _SPLIT_HINT[hint_key] else df
 
 
 def documents_base(spark: SparkSession, sf_dir: str) -> DataFrame:
