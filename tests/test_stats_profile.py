@@ -32,7 +32,7 @@ def test_single_row_group_ci_is_null(spark):
     df = spark.createDataFrame([(1, 0.5), (2, 0.1), (2, 0.3)], "k int, v double")
     rows = {r.k: r for r in S.mean_ci(df, "k", "v").collect()}
     assert rows[1].std is None and rows[1].sem is None and rows[1].ci95_low is None
-    assert rows[2].count == 2 and rows[2].ci95_high > rows[2].mean
+    assert rows[2]["count"] == 2 and rows[2].ci95_high > rows[2].mean
 
 
 def test_histogram_events_matches_pandas(spark):

@@ -28,6 +28,11 @@ def row_ids(df: DataFrame, order_cols: list[str | Column], out: str = "row_id",
     s = (df.repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols)
            .withColumn("_mid", F.monotonically_increasing_id()))
     s = s.withColumn("_pid", F.shiftright(F.col("_mid"), 33)).withColumn("_local", F.col("_mid").bitwiseAND(_LOW_BITS))
+    # Both branches below must see the same partitioning.  Spark reuses the
+    # one range exchange for both (ReusedExchange); if exchange reuse is
+    # switched off, the numbered rows are materialised once instead.
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        s = s.checkpoint(eager=True)
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: this window and the broadcast are bounded by the partition count
     offs = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
