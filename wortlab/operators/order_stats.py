@@ -51,7 +51,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float]) -> DataFra
     (numpy's default), over the non-null values -> one row, one column per
     name in ``probs``.  Null when the column has no values."""
     v = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    ranked = row_ids(v, ["_v"], "_r")
+    # equal values are interchangeable for order statistics: a tie-breaker
+    # lets the range partitioner split a hot value over several tasks
+    ranked = row_ids(v.withColumn("_tb", F.monotonically_increasing_id()), ["_v", "_tb"], "_r")
     n = v.agg(F.count(F.lit(1)).alias("_cnt"))
     targets = []
     for name, p in probs.items():
