@@ -18,8 +18,22 @@ def plan(df):
 
 def test_flagship_pushes_language_filter_and_has_no_python(spark):
     p = plan(E.queries()["mean_ci_by_year"](spark, SF001))
-    assert "EqualTo(lang,de)" in p and "EqualTo(lang,en)" in p
+    assert "EqualTo(lang,de)" in p
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+    # the vocabulary is built (and measured) in its own job, before the flagship is planned
+    from wortlab.plans.articles import english_lexicon
+    lp = plan(english_lexicon(spark, SF001))
+    assert "EqualTo(lang,en)" in lp and "partial_count" in lp
+
+
+def test_measured_vocabulary_keeps_tokens_in_their_task(spark):
+    """A small vocabulary is broadcast after measuring: the token stream is
+    never shuffled on the word, and the per-article fold needs no exchange
+    of its own."""
+    p = plan(E.queries()["mean_ci_by_year"](spark, SF001))
+    assert "BroadcastHashJoin LeftOuter" in p
+    token_exchanges = [l for l in p.splitlines() if "hashpartitioning(_t" in l]
+    assert token_exchanges == []
 
 
 def test_top_words_is_a_bounded_topk(spark):

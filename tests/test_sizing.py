@@ -1,0 +1,43 @@
+"""Size-checked joins against derived tables."""
+
+import contextlib
+import io
+
+from wortlab.operators import sizing as Z
+
+
+def plan(df):
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_parse_bytes():
+    assert Z.parse_bytes("32m") == 32 << 20
+    assert Z.parse_bytes("10MB") == 10 << 20
+    assert Z.parse_bytes("1048576") == 1 << 20
+    assert Z.parse_bytes("-1") == -1
+    assert Z.parse_bytes("") is None and Z.parse_bytes(None) is None
+
+
+def test_measured_bytes_counts_values(spark):
+    df = spark.createDataFrame([("abc",), ("de",), (None,)], "w string")
+    assert Z.measured_bytes(df) == 3 * Z.ROW_OVERHEAD_BYTES + 5
+
+
+def test_broadcast_only_under_the_threshold(spark):
+    big = spark.range(1000).selectExpr("CAST(id % 7 AS STRING) AS w", "id")
+    small = spark.createDataFrame([(str(i),) for i in range(3)], "w string")
+    key = "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    try:
+        j = Z.join_built_side(big, small, "w", "left_semi")
+        assert "BroadcastHashJoin" in plan(j) and j.count() == 3 * 143
+        spark.conf.set(key, "10")            # smaller than the measured side
+        j = Z.join_built_side(big, small, "w", "left_semi")
+        p = plan(j)
+        assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
+        assert j.count() == 3 * 143
+    finally:
+        spark.conf.set(key, old)

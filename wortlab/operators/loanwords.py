@@ -11,9 +11,11 @@ detector about every token occurrence.  Here detection is a Spark job:
 * words are scored once per *distinct* word and joined back - the costly
   step never runs per occurrence.
 
-All joins are plain equi-joins: AQE turns them into broadcast joins when
-the measured side is small and keeps sort-merge (with skew splitting)
-otherwise, so no vocabulary is ever broadcast on faith.
+The vocabulary is built once into the shared checkpoint folder and measured
+before the token stream meets it (``sizing.join_built_side``): under the
+broadcast threshold it is broadcast and the tokens never leave the task that
+produced them; above it the join is a sort-merge join with AQE's skew
+splitting.  No vocabulary is broadcast on faith.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import CANDIDATE_TOKEN, spark_stop_words, word_count
+from .sizing import join_built_side
 
 
 def _sql_str(s: str) -> str:
@@ -66,6 +69,36 @@ def tokenize_words(df: DataFrame, id_col: str = "article_id", text_col: str = "t
               .select(id_col, F.col("t.pos").alias("pos"), F.col("t.word").alias("word")))
 
 
+def candidate_rows(df: DataFrame, text_col: str = "text", keep: list[str] | None = None,
+                   word_col: str = "word", pos_col: str | None = None, outer: bool = False) -> DataFrame:
+    """L1 as rows, for the folds that only need the words in text order.
+
+    The raw token matches are exploded first; lower-casing and the stop-word
+    test then run per row as plain (code-generated) expressions instead of
+    lambda functions over the array.  ``pos`` (when asked) is the index among
+    the matches: it keeps the text order, with gaps where stop words were.
+    ``outer`` keeps every input row: a text without candidates, or with stop
+    words only, leaves one row whose word is null.
+    """
+    keep = list(keep or [])
+    m = F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(CANDIDATE_TOKEN), 1)
+    if outer:
+        gen = F.posexplode_outer(m).alias("_i", "_m")
+    else:
+        gen = F.posexplode(m).alias("_i", "_m")
+    rows = df.select(*keep, gen)
+    lw = F.lower(F.col("_m"))
+    word = F.when(~lw.isin(list(spark_stop_words("german"))), lw)
+    rows = rows.select(*keep, F.col("_i").alias("_i"), word.alias(word_col))
+    if outer:
+        # the first row of every text survives (its word null when it is a stop word)
+        rows = rows.where(F.col(word_col).isNotNull() | F.col("_i").isNull() | (F.col("_i") == 0))
+    else:
+        rows = rows.where(F.col(word_col).isNotNull())
+    out = [*keep, word_col] if pos_col is None else [*keep, F.col("_i").alias(pos_col), word_col]
+    return rows.select(*out)
+
+
 def build_lexicon(tokens: DataFrame, min_count: int = 2, word_col: str = "word") -> DataFrame:
     """L2(a) vocabulary: words seen at least ``min_count`` times in the
     source-language corpus.  A hash aggregate with map-side partial counts,
@@ -77,7 +110,7 @@ def build_lexicon(tokens: DataFrame, min_count: int = 2, word_col: str = "word")
 def detect_loanwords(tokens: DataFrame, lexicon: DataFrame, word_col: str = "word") -> DataFrame:
     """L2 keep the tokens whose word is in the English vocabulary (J7, a
     semi join: the token side is never duplicated)."""
-    return tokens.join(lexicon, word_col, "left_semi")
+    return join_built_side(tokens, lexicon.select(word_col), word_col, "left_semi")
 
 
 def loanword_table(articles: DataFrame, lexicon: DataFrame, id_col: str = "article_id",
@@ -93,15 +126,16 @@ def loanword_table(articles: DataFrame, lexicon: DataFrame, id_col: str = "artic
     Every other column of ``articles`` is carried through unchanged.
     """
     keep = [c for c in articles.columns if c not in (text_col, id_col)]
-    # word count and candidate array are computed once per article, before
-    # the explode; the text itself never reaches a shuffle
-    per_doc = articles.select(id_col, *keep, word_count(text_col).alias("word_count"),
-                              candidate_words(text_col).alias("_cands"))
-    base = per_doc.select(id_col, *keep, "word_count", F.explode_outer("_cands").alias("t"))
-    lex = lexicon.select(F.col("word").alias("_w"), F.lit(True).alias("_en"))
-    tok = (base.join(lex, F.col("t.word") == F.col("_w"), "left")
-               .select(id_col, *keep, "word_count", F.col("t.pos").alias("pos"),
-                       F.when(F.col("_en"), F.col("t.word")).alias("loanword")))
+    # word count is computed once per article, before the explode; the text
+    # itself never reaches a shuffle
+    per_doc = articles.select(id_col, *keep, word_count(text_col).alias("word_count"), text_col)
+    base = candidate_rows(per_doc, text_col, [id_col, *keep, "word_count"], "_t", "pos", outer=True)
+    lex = lexicon.select(F.col("word").alias("_t"), F.lit(True).alias("_en"))
+    # measured vocabulary: broadcast when small, so the tokens stay in their
+    # task and the fold below is partially aggregated to one row per article
+    # before any shuffle
+    tok = (join_built_side(base, lex, "_t", "left")
+               .select(id_col, *keep, "word_count", "pos", F.when(F.col("_en"), F.col("_t")).alias("loanword")))
     # per-article columns are part of the key (functionally dependent on the
     # id): plain hash aggregation, no sort-based fallback for string buffers
     keys = [id_col, *keep, "word_count"]

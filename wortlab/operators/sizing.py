@@ -1,0 +1,87 @@
+"""Joins against a derived table whose size is only known after it is built
+(the vocabulary, a word profile).
+
+AQE can turn a sort-merge join into a broadcast join once it has measured a
+side, but by then the other side has already been shuffled on the join key.
+When that other side is the token stream of a whole corpus, that shuffle is
+the largest one of the job.  Here the small side is built first and written
+to the shared checkpoint folder, its exact size is measured, and the join is
+planned as a broadcast join only when the measured size is under the
+session's broadcast threshold; otherwise it is a shuffle join (sort-merge,
+with AQE's skew splitting).
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
+
+# hash-relation bookkeeping per row (row header, offsets, hash slot): a
+# generous flat allowance on top of the measured value bytes
+ROW_OVERHEAD_BYTES = 64
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def parse_bytes(text: str | None) -> int | None:
+    """Spark size strings ('32m', '10MB', '1048576', '-1') -> bytes."""
+    if text is None or str(text).strip() == "":
+        return None
+    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", str(text))
+    if not m or m.group(2).lower() not in _UNITS:
+        return None
+    return int(m.group(1)) * _UNITS[m.group(2).lower()]
+
+
+def broadcast_limit(spark) -> int:
+    """The session's broadcast threshold in bytes (AQE's when set, else the
+    static one); negative means never broadcast."""
+    for key in ("spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.autoBroadcastJoinThreshold"):
+        v = parse_bytes(spark.conf.get(key, None))
+        if v is not None:
+            return v
+    return 10 << 20
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Exact value bytes of ``df`` plus a per-row allowance (one aggregate
+    row comes back to the driver)."""
+    parts: list[Column] = [F.count(F.lit(1)) * F.lit(ROW_OVERHEAD_BYTES)]
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            parts.append(F.coalesce(F.sum(F.octet_length(c)), F.lit(0)))
+        else:
+            parts.append(F.count(F.lit(1)) * F.lit(8))      # fixed-width slot
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return int(df.agg(total.alias("b")).first()["b"] or 0)
+
+
+def materialized(df: DataFrame) -> tuple[DataFrame, int]:
+    """Build ``df`` once into the shared checkpoint folder (a reliable
+    checkpoint: it survives the loss of the executors that computed it) and
+    return it with its measured size.  The rows are computed once: the
+    measuring job fills a cache that the checkpoint's own jobs then read."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        size = measured_bytes(df)
+        return df.checkpoint(eager=True), size
+    finally:
+        df.unpersist()
+
+
+def join_built_side(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """``big.join(small, on, how)`` where ``small`` is derived data of
+    unknown size: materialised once, measured, broadcast only when the
+    measured size is within the session's threshold."""
+    small, size = materialized(small)
+    limit = broadcast_limit(big.sparkSession)
+    if 0 <= size <= limit and limit >= 0:
+        return big.join(F.broadcast(small), on, how)
+    return big.join(small, on, how)

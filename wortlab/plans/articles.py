@@ -16,7 +16,7 @@ TARGET_LANG = "de"   # articles measured for English loanwords
 def english_lexicon(spark: SparkSession, sf_dir: str, min_count: int = 2) -> DataFrame:
     """L2(a) vocabulary from the English documents (filter pushed to the scan)."""
     docs = documents_base(spark, sf_dir).where(F.col("lang") == SOURCE_LANG)
-    return L.build_lexicon(L.tokenize_words(docs.select("article_id", "text")), min_count)
+    return L.build_lexicon(L.candidate_rows(docs.select("text")), min_count)
 
 
 def loanword_articles(spark: SparkSession, sf_dir: str, with_lists: bool = False,
