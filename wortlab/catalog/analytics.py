@@ -132,7 +132,8 @@ def histogram_20(spark, sf_dir):
 @query("histogram_events", "WITH " + _hist_sql("events", "value", 10))
 def histogram_events(spark, sf_dir):
     """A6 at volume on a long-tailed column (has an empty bin)."""
-    return finish(S.equal_width_histogram(load(spark, sf_dir, "events"), "value", 10, "%.6f - %.6f"))
+    return finish(S.equal_width_histogram(load(spark, sf_dir, "events"), "value", 10, "%.6f - %.6f",
+                                           derived_input=False))
 
 
 def _edge_hist_sql() -> str:
@@ -345,7 +346,7 @@ def bin_lookup(spark, sf_dir):
        .replace(f"{r('lo', 'lo')}, {r('hi', 'hi')}, ", ""))
 def dense_bins(spark, sf_dir):
     """J5 bin table left join counts: empty bins appear with count 0."""
-    h = S.equal_width_histogram(load(spark, sf_dir, "events"), "value", 10)
+    h = S.equal_width_histogram(load(spark, sf_dir, "events"), "value", 10, derived_input=False)
     return h.select("bin", "count")
 
 
@@ -360,7 +361,8 @@ def sort_by_key(spark, sf_dir):
 @query("sort_bins", "WITH " + _hist_sql("events", "value", 20))
 def sort_bins(spark, sf_dir):
     """T4 bins in bin order (not label order), 20 bins."""
-    return finish(S.equal_width_histogram(load(spark, sf_dir, "events"), "value", 20, "%.6f - %.6f"))
+    return finish(S.equal_width_histogram(load(spark, sf_dir, "events"), "value", 20, "%.6f - %.6f",
+                                           derived_input=False))
 
 
 @query("broadcast_scalar", f"""WITH st AS (SELECT avg(l_extendedprice) AS m FROM lineitem)

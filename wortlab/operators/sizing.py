@@ -63,11 +63,21 @@ def measured_bytes(df: DataFrame) -> int:
     return int(df.agg(total.alias("b")).first()["b"] or 0)
 
 
-def materialized(df: DataFrame) -> tuple[DataFrame, int]:
+def checkpointed(df: DataFrame) -> DataFrame:
     """Build ``df`` once into the shared checkpoint folder (a reliable
-    checkpoint: it survives the loss of the executors that computed it) and
-    return it with its measured size.  The rows are computed once: the
-    measuring job fills a cache that the checkpoint's own jobs then read."""
+    checkpoint: it survives the loss of the executors that computed it).
+    The rows are computed once: a cache is filled first and the
+    checkpoint's own jobs read it."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
+
+
+def materialized(df: DataFrame) -> tuple[DataFrame, int]:
+    """``checkpointed`` plus the measured size of the rows (the measuring job
+    fills the cache)."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         size = measured_bytes(df)

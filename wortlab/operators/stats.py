@@ -14,6 +14,7 @@ from typing import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from .sizing import checkpointed
 
 Z95 = 1.96  # fixed value: normal quantile used for the 95 % band
 
@@ -102,15 +103,27 @@ def bin_index(v: Column, inner_edges: Column) -> Column:
     return F.lit(1) + F.size(F.filter(inner_edges, lambda e: e < v))
 
 
-def equal_width_histogram(df: DataFrame, value: str, n: int = 10, label_fmt: str = "%.4f - %.4f") -> DataFrame:
+def equal_width_histogram(df: DataFrame, value: str, n: int = 10, label_fmt: str = "%.4f - %.4f",
+                          derived_input: bool = True) -> DataFrame:
     """A6 / A7 ``pd.cut(col, bins=n)`` + ``value_counts().sort_index()``.
 
     Edges span [min, max] (numpy linspace arithmetic); the lowest edge is
     moved down by 0.1 % of the range; a constant column is widened by
     0.1 % of its value (0.001 when it is 0) each way.  Every bin is
     reported, empty bins with count 0 -> (bin, lo, hi, label, count).
+
+    The edges need min / max before any row can be binned, so the input is
+    read twice.  For a ``derived_input`` (e.g. the article table, a whole
+    text pass) it is first folded to (value, count) - lossless, partially
+    aggregated, so a hot value costs one row per map task - and that fold
+    is checkpointed to the shared folder, so the input is computed once and
+    both reads are of the small fold.  A plain column scan is cheaper to
+    read twice.
     """
     v = F.col(value)
+    if derived_input:
+        df = checkpointed(df.select(value).where(v.isNotNull() & ~F.isnan(v))
+                            .groupBy(value).agg(F.count(F.lit(1)).alias("_w")))
     stats = df.agg(F.min(v).alias("_mn"), F.max(v).alias("_mx"))
     mn, mx = F.col("_mn"), F.col("_mx")
     same = mn == mx
@@ -121,7 +134,7 @@ def equal_width_histogram(df: DataFrame, value: str, n: int = 10, label_fmt: str
     adj = F.when(same, F.lit(0.0)).otherwise((mx - mn) * 0.001)
     edges[0] = edges[0] - adj
     stats = stats.select(F.array(*edges).alias("_edges"))  # one row
-    return _histogram(df, value, stats, n, label_fmt, include_lowest=False)
+    return _histogram(df, value, stats, n, label_fmt, include_lowest=False, weight="_w" if derived_input else None)
 
 
 def edge_histogram(df: DataFrame, value: str, edges: list[float], label_fmt: str = "%.2f - %.2f") -> DataFrame:
@@ -132,16 +145,17 @@ def edge_histogram(df: DataFrame, value: str, edges: list[float], label_fmt: str
     return _histogram(df, value, stats, len(edges) - 1, label_fmt, include_lowest=True)
 
 
-def _histogram(df, value, stats, n, label_fmt, include_lowest):
+def _histogram(df, value, stats, n, label_fmt, include_lowest, weight=None):
     v = F.col(value)
     e = F.col("_edges")
     inner = F.slice(e, 2, n - 1)
     lo_ok = (v >= e[0]) if include_lowest else (v > e[0])
+    cnt = F.count(F.lit(1)) if weight is None else F.sum(weight)
     # the statistics row is a single row: broadcasting it is bounded
-    counted = (df.select(value).where(v.isNotNull() & ~F.isnan(v))
+    counted = (df.select(value, *([weight] if weight else [])).where(v.isNotNull() & ~F.isnan(v))
                  .crossJoin(F.broadcast(stats))
                  .where(lo_ok & (v <= e[n]))
-                 .groupBy(bin_index(v, inner).alias("bin")).agg(F.count(F.lit(1)).alias("count")))
+                 .groupBy(bin_index(v, inner).alias("bin")).agg(cnt.alias("count")))
     bins = (stats.select(F.posexplode(F.arrays_zip(F.slice(e, 1, n).alias("lo"),
                                                   F.slice(e, 2, n).alias("hi"))).alias("i", "b"))
                  .select((F.col("i") + 1).alias("bin"), F.col("b.lo").alias("lo"), F.col("b.hi").alias("hi")))
