@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import langprofile as LP
 from ..operators import loanwords as L
+from ..operators.sizing import join_built_side
 from ..plans.articles import TARGET_LANG, english_lexicon, loanword_articles
 from ..sources.tables import documents_base, load
 from . import finish, query
@@ -49,7 +50,10 @@ def detect_loanwords_profile(spark, sf_dir):
                .select("article_id", "lang", F.col("t.pos").alias("pos"), F.col("t.word").alias("word"))
     best = LP.word_language(toks.select("word", "lang"))
     en_words = best.where(F.col("lang") == "en").select("word")
-    return toks.where(F.col("lang") == TARGET_LANG).join(en_words, "word", "left_semi").select("article_id", "pos", "word")
+    # the English word set is built and measured first: broadcast when small,
+    # so the German token stream is not shuffled on the word
+    return join_built_side(toks.where(F.col("lang") == TARGET_LANG), en_words, "word", "left_semi") \
+        .select("article_id", "pos", "word")
 
 
 def _all_cands(spark, sf_dir):

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import re
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
@@ -66,24 +65,16 @@ def measured_bytes(df: DataFrame) -> int:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Build ``df`` once into the shared checkpoint folder (a reliable
     checkpoint: it survives the loss of the executors that computed it).
-    The rows are computed once: a cache is filled first and the
-    checkpoint's own jobs read it."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    An eager checkpoint is one job: the rows are computed once, as they are
+    written."""
+    return df.checkpoint(eager=True)
 
 
 def materialized(df: DataFrame) -> tuple[DataFrame, int]:
-    """``checkpointed`` plus the measured size of the rows (the measuring job
-    fills the cache)."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        size = measured_bytes(df)
-        return df.checkpoint(eager=True), size
-    finally:
-        df.unpersist()
+    """``checkpointed`` plus the measured size of the rows (measured on the
+    written checkpoint, not by computing ``df`` a second time)."""
+    df = checkpointed(df)
+    return df, measured_bytes(df)
 
 
 def join_built_side(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:

@@ -20,6 +20,7 @@ A8_EDGES = [-0.05 + i * (1.1 / 10) for i in range(10)] + [1.05]
 
 
 def chart_tables(articles: DataFrame) -> dict[str, DataFrame]:
+    """The chart tables of one (already materialised) article table."""
     yearly = S.group_mean(articles, "year", "loanword_density")
     ci = S.mean_ci(articles, "year", "loanword_density")
     fit = S.linear_fit(yearly.where(F.col("year").between(2016, 2023)), "year", "loanword_density")
@@ -31,9 +32,9 @@ def chart_tables(articles: DataFrame) -> dict[str, DataFrame]:
         "loanword_density_confidence": ci.withColumnsRenamed({"year": "Year", "mean": "Avg Loanword Density",
                                                               "count": "Article Count", "ci95_low": "CI Lower",
                                                               "ci95_high": "CI Upper"}),
-        "loanword_density_histogram": S.equal_width_histogram(articles, "loanword_density", 10)
+        "loanword_density_histogram": S.equal_width_histogram(articles, "loanword_density", 10, derived_input=False)
                                        .select(F.col("label").alias("density_bin"), F.col("count").alias("article_count")),
-        "loanword_density_histogram_20": S.equal_width_histogram(articles, "loanword_density", 20)
+        "loanword_density_histogram_20": S.equal_width_histogram(articles, "loanword_density", 20, derived_input=False)
                                           .select(F.col("label").alias("density_bin"), F.col("count").alias("article_count")),
         "loanword_density_histogram_bins10": S.edge_histogram(articles, "loanword_density", A8_EDGES)
                                               .select(F.col("label").alias("Loanword Density Range"),
