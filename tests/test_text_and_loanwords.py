@@ -61,19 +61,6 @@ def test_loanword_lists(spark):
     assert r.loanword_count == 5 and r.loanword_density == round(5 / 11, 4)
 
 
-def test_candidate_rows_keep_text_order_and_every_article(spark):
-    df = spark.createDataFrame([(1, "Das Team, im Start-up: foo_bar Meeting! abc1"), (2, "aber alle doch"), (3, None)],
-                               "article_id long, text string")
-    rows = L.candidate_rows(df, "text", ["article_id"], pos_col="pos", outer=True).collect()
-    words = [r.word for r in sorted((r for r in rows if r.article_id == 1), key=lambda r: r.pos)]
-    assert words == ["team", "meeting"]
-    # stop words only / no text: the article keeps one row with a null word
-    assert [r.word for r in rows if r.article_id == 2] == [None]
-    assert [r.word for r in rows if r.article_id == 3] == [None]
-    inner = L.candidate_rows(df, "text").collect()
-    assert sorted(r.word for r in inner) == ["meeting", "team"]
-
-
 def test_stop_word_only_article_counts_zero(spark):
     arts = spark.createDataFrame([(1, "aber alle doch"), (2, "team meeting")], "article_id long, text string")
     lex = spark.createDataFrame([("team",)], "word string")

@@ -14,7 +14,6 @@ from typing import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from .sizing import checkpointed
 
 Z95 = 1.96  # fixed value: normal quantile used for the 95 % band
 
@@ -122,8 +121,9 @@ def equal_width_histogram(df: DataFrame, value: str, n: int = 10, label_fmt: str
     """
     v = F.col(value)
     if derived_input:
-        df = checkpointed(df.select(value).where(v.isNotNull() & ~F.isnan(v))
-                            .groupBy(value).agg(F.count(F.lit(1)).alias("_w")))
+        df = (df.select(value).where(v.isNotNull() & ~F.isnan(v))
+                .groupBy(value).agg(F.count(F.lit(1)).alias("_w"))
+                .checkpoint(eager=True))      # one job: the input is computed once, as it is written
     stats = df.agg(F.min(v).alias("_mn"), F.max(v).alias("_mx"))
     mn, mx = F.col("_mn"), F.col("_mx")
     same = mn == mx
