@@ -161,7 +161,9 @@ _FIT = f"fit AS (SELECT regr_slope(m, year) AS slope, regr_intercept(m, year) AS
 
 
 def _fit(spark, sf_dir):
-    yearly = S.group_mean(loanword_articles(spark, sf_dir), "year", "loanword_density", "m")
+    # the yearly means (one row per year) feed both the fit and the actuals:
+    # written once to the checkpoint folder, so the text pass runs once
+    yearly = S.group_mean(loanword_articles(spark, sf_dir), "year", "loanword_density", "m").checkpoint(eager=True)
     inwin = yearly.where(F.col("year").between(*FIT_YEARS))          # F6
     return yearly, S.linear_fit(inwin, "year", "m")
 
@@ -254,7 +256,8 @@ SELECT 0 AS part, year, ci95_high AS bound FROM ci UNION ALL SELECT 1 AS part, y
        .replace(")\n, ci AS", "),\nci AS"))
 def ci_band_outline(spark, sf_dir):
     """U3 outline of the band: upper bounds ascending, lower descending."""
-    ci = S.mean_ci(loanword_articles(spark, sf_dir), "year", "loanword_density")
+    # one row per year, read by both halves of the outline: checkpointed once
+    ci = S.mean_ci(loanword_articles(spark, sf_dir), "year", "loanword_density").checkpoint(eager=True)
     return finish(S.ci_band_outline(finish(ci), "year"))
 
 

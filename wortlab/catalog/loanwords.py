@@ -73,9 +73,11 @@ SELECT word, lang, {r('score', 'score', 6)} FROM (
   SELECT *, row_number() OVER (PARTITION BY word ORDER BY score DESC, lang ASC) AS rk FROM sc) WHERE rk = 1"""))
 def detect_language_ngram(spark, sf_dir):
     """L3 applied: best language of each distinct German candidate word."""
-    cands = _all_cands(spark, sf_dir)
-    prof = LP.train_ngram_profile(cands)
-    words = cands.where(F.col("lang") == TARGET_LANG).select("word")
+    # one text pass: distinct (lang, word) counts, written once, feed both the
+    # profile and the German word list
+    wl = LP.word_counts(_all_cands(spark, sf_dir)).checkpoint(eager=True)
+    prof = LP.train_ngram_profile(wl, weight_col="n")
+    words = wl.where(F.col("lang") == TARGET_LANG).select("word")
     out = LP.classify_words(words, prof)
     return out.select("word", "lang", F.round("score", 6).alias("score"))
 

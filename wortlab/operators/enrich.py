@@ -245,6 +245,10 @@ def unwanted_loanwords(df: DataFrame, list_col: str = "loanwords", out_col: str
     if backend is not None:
         raw = infer(df, {"_unwanted": "unwanted_loanwords"}, backend, text_col, list_col)
         return raw.withColumn(out_col, split_csv_list("_unwanted")).drop("_unwanted")
+    # the input is read four times below (article count, document frequency,
+    # occurrences, the result); when it is derived (a whole text pass) it is
+    # written once to the shared checkpoint folder and read from there
+    df = df.checkpoint(eager=True)
     n_docs = df.agg(F.count(F.lit(1)).alias("_docs"))
     dfreq = (df.select(id_col, F.explode(F.array_distinct(list_col)).alias("_w"))
                .groupBy("_w").agg(F.count(F.lit(1)).alias("_df"))

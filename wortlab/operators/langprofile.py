@@ -23,7 +23,7 @@ def word_language(tokens: DataFrame, word_col: str = "word", lang_col: str = "la
     """-> (word, lang) best language by relative frequency.  Hash
     aggregations only; the language totals are one row per language."""
     per = tokens.groupBy(word_col, lang_col).agg(F.count(F.lit(1)).alias("_n"))
-    tot = tokens.groupBy(lang_col).agg(F.count(F.lit(1)).alias("_tot"))
+    tot = per.groupBy(lang_col).agg(F.sum("_n").alias("_tot"))     # from the same per-word shuffle
     rel = per.join(F.broadcast(tot), lang_col).select(word_col, lang_col, (F.col("_n") / F.col("_tot")).alias("_rel"))
     # max_by over (rel, -lang order) - ties resolved to the smallest language code
     best = rel.groupBy(word_col).agg(F.max_by(F.col(lang_col), F.struct(F.col("_rel"),
@@ -45,12 +45,27 @@ def word_grams(word: Column) -> Column:
     return F.flatten(F.array(*arrays))
 
 
-def train_ngram_profile(tokens: DataFrame, word_col: str = "word", lang_col: str = "lang") -> DataFrame:
+def word_counts(tokens: DataFrame, word_col: str = "word", lang_col: str = "lang", out: str = "n") -> DataFrame:
+    """(lang, word, n): occurrences per word and language (partial counts
+    before the shuffle, so a hot word costs one row per map task)."""
+    return tokens.groupBy(lang_col, word_col).agg(F.count(F.lit(1)).alias(out))
+
+
+def train_ngram_profile(tokens: DataFrame, word_col: str = "word", lang_col: str = "lang",
+                        weight_col: str | None = None) -> DataFrame:
     """L3 -> (lang, gram, logp) plus, per language, the log probability of
     an unseen gram (gram = null).  Add-one smoothing over the vocabulary V
-    of all grams seen in any language."""
-    grams = tokens.select(lang_col, F.explode(word_grams(F.col(word_col))).alias("gram"))
-    counts = grams.groupBy(lang_col, "gram").agg(F.count(F.lit(1)).alias("_c"))
+    of all grams seen in any language.
+
+    Every occurrence of a word has the same grams, so grams are counted per
+    distinct (lang, word) weighted by its occurrences (``weight_col`` when
+    ``tokens`` are such counts already).  The gram counts are read three
+    times (totals, V, probabilities); they are bounded (see module doc) and
+    written once to the checkpoint folder, so the text pass runs once."""
+    if weight_col is None:
+        tokens, weight_col = word_counts(tokens, word_col, lang_col, "_n"), "_n"
+    grams = tokens.select(lang_col, weight_col, F.explode(word_grams(F.col(word_col))).alias("gram"))
+    counts = grams.groupBy(lang_col, "gram").agg(F.sum(weight_col).alias("_c")).checkpoint(eager=True)
     tot = counts.groupBy(lang_col).agg(F.sum("_c").alias("_tot"))
     v = counts.select("gram").distinct().agg(F.count(F.lit(1)).alias("_v"))
     base = tot.crossJoin(F.broadcast(v))                       # one row per language x one row
