@@ -41,3 +41,16 @@ def test_row_ids_use_no_single_partition_window_over_rows(spark):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and df.columns[0] == "year"
+
+
+def test_derived_tables_read_twice_are_computed_once(spark):
+    """Queries that read a derived table twice (min/max then counts, fit then
+    actuals, CI up then down, the n-gram counts) compute it once: the small
+    fold is checkpointed while the query is built, so the final plan does
+    not scan the documents again (at most one text pass, en + de)."""
+    for name in ("histogram_10", "linear_forecast", "ci_band_outline", "train_language_profile",
+                 "detect_language_ngram"):
+        p = plan(E.queries()[name](spark, SF001))
+        assert p.count("documents.parquet") == 0, name
+    p = plan(E.queries()["unwanted_loanwords"](spark, SF001))
+    assert p.count("documents.parquet") == 0
