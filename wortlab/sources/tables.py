@@ -38,8 +38,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     Hash partitioning on the row id is deterministic under task retry.  At
     scale the input has many files and nothing is added.  The decision
     looks at the file list only (no planning of the whole query) and is
-    remembered per input."""
-    files = df._jdf.inputFiles()          # JVM array: only its length and first name cross over
+    remembered per input.  (Planned splits would overstate the parallelism:
+    a file with one row group is split by bytes, but only one split reads
+    rows.)  The list of names is the driver's file index; it holds one
+    string per file."""
+    files = df.inputFiles()
     n = len(files)
     hint_key = (n, files[0] if n else "")
     slots = df.sparkSession.sparkContext.defaultParallelism
