@@ -67,3 +67,21 @@ def test_stop_word_only_article_counts_zero(spark):
     rows = {r.article_id: r for r in L.loanword_table(arts, lex).collect()}
     assert rows[1].loanword_count == 0 and rows[1].word_count == 3
     assert rows[2].loanword_count == 1 and rows[2].loanword_density == 0.5
+
+
+def test_ngram_profile_weighted_by_word_counts_equals_per_occurrence(spark):
+    from wortlab.operators import langprofile as LP
+    toks = spark.createDataFrame([("en", "team"), ("en", "team"), ("en", "meeting"), ("de", "haus"),
+                                  ("de", "team"), ("de", "haus"), ("de", "haus")], "lang string, word string")
+    direct = {(r.lang, r.gram): round(r.logp, 12) for r in LP.train_ngram_profile(toks).collect()}
+    counted = LP.word_counts(toks)
+    weighted = {(r.lang, r.gram): round(r.logp, 12)
+                for r in LP.train_ngram_profile(counted, weight_col="n").collect()}
+    assert direct == weighted
+    # brute force: add-one smoothing over the grams of '_word_' (1- to 3-grams)
+    grams_en = [w[i:i + n] for w in ["_team_", "_team_", "_meeting_"] for n in (1, 2, 3) for i in range(len(w) - n + 1)]
+    grams_de = [w[i:i + n] for w in ["_haus_"] * 3 + ["_team_"] for n in (1, 2, 3) for i in range(len(w) - n + 1)]
+    import math
+    v = len(set(grams_en) | set(grams_de))
+    assert direct[("en", "ea")] == round(math.log((grams_en.count("ea") + 1) / (len(grams_en) + v)), 12)
+    assert direct[("de", None)] == round(math.log(1 / (len(grams_de) + v)), 12)
