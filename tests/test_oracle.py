@@ -37,7 +37,7 @@ def rows(cols, data):
 
 
 def test_every_query_is_registered_with_sql_or_is_stateful():
-    missing = set(QUERIES) - set(SQL)
+    missing = {q for q in QUERIES if not q.startswith("op") and q != "pipeline"} - set(SQL)
     assert not missing, missing
 
 

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import functools
-import glob
-import os
-import zipfile
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .stopwords import GERMAN
+
 # Python's ``str.split()`` whitespace set, written as a regex class that Java
 # and RE2 read the same way (tab..CR, \x1c-\x1f, \x85 and the Unicode Z classes).
 WS_CLASS = r"\t\n\x0B\f\r\x1C-\x1F\x85\p{Z}"
@@ -142,16 +141,8 @@ def array_difference_keep(a, b) -> Column:
     return F.filter(_c(a), lambda x: ~F.coalesce(F.array_contains(b, x), F.lit(False)))
 
 
-@functools.lru_cache(maxsize=None)
 def spark_stop_words(language: str = "german") -> tuple[str, ...]:
-    """Stop word list shipped with Spark ML (``StopWordsRemover`` defaults).
-
-    Read straight from the Spark ML jar so that Spark code and the SQL oracle
-    use the identical list without a running JVM."""
-    import pyspark
-
-    jars = os.path.join(os.path.dirname(pyspark.__file__), "jars")
-    jar = [p for p in glob.glob(os.path.join(jars, "spark-mllib_*.jar"))][0]
-    with zipfile.ZipFile(jar) as z:
-        raw = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt")
-    return tuple(w for w in raw.decode("utf-8").split() if w)
+    """The default stop word list of ``StopWordsRemover``, kept in the package."""
+    if language != "german":
+        raise ValueError(f"no stop word list for {language!r}")
+    return GERMAN
