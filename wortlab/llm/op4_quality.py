@@ -48,22 +48,25 @@ def _let(value: Column, body) -> Column:
 def repeated_window_words(words: Column) -> Column:
     """Words inside a three-word window that the text has at least twice, the first one included."""
     last = F.size(words) - 2
-    keys = F.transform(F.sequence(F.lit(0), last - 1), lambda i: F.struct(
-        F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("p")))
+    hashes = F.transform(F.sequence(F.lit(0), last - 1),
+                         lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
 
     def places(s):  # s: windows by hash and place; neighbours with equal hashes are the repeated ones
         n = F.size(s)
-        same = F.zip_with(F.slice(s, 1, n - 1), F.slice(s, 2, n - 1),
-                          lambda a, b: F.when(a["h"] == b["h"], F.array(a["p"], b["p"])))
-        return F.array_sort(F.array_distinct(F.flatten(F.array_compact(same))))
+        pairs = F.filter(F.arrays_zip(F.slice(s, 1, n - 1).alias("a"), F.slice(s, 2, n - 1).alias("b")),
+                         lambda x: x["a"]["h"] == x["b"]["h"])
+        return F.sort_array(F.array_distinct(F.flatten(F.transform(pairs, lambda x: F.array(x["a"]["p"], x["b"]["p"])))))
 
-    def cover(p):  # p: sorted places; each covers three words or up to the next place
+    def cover(p):  # p: sorted places, two at least; each covers three words or up to the next place
         n = F.size(p)
         steps = F.zip_with(F.slice(p, 1, n - 1), F.slice(p, 2, n - 1), lambda a, b: F.least(b - a, F.lit(3)))
-        return F.when(n > 0, F.aggregate(steps, F.lit(3), lambda x, y: x + y)).otherwise(0)
+        return F.aggregate(steps, F.lit(3), lambda x, y: x + y)
 
-    found = _let(F.sort_array(keys), lambda s: F.when(F.size(s) > 1, places(s)).otherwise(F.array().cast("array<int>")))
-    return F.when(last > 1, _let(found, lambda p: F.when(F.size(p) > 1, cover(p)).otherwise(F.size(p) * 3))).otherwise(0)
+    def repeats(h):  # most texts have no repeated window: equal sizes say so without a sort
+        windows = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p"))))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(_let(_let(windows, places), cover))
+
+    return F.when(last > 1, _let(hashes, repeats)).otherwise(0)
 
 
 def metric_columns(text: str) -> dict[str, Column]:
@@ -102,7 +105,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   min_words: int = BASE_WORDS, max_repeat_percent: int = BASE_REPEAT_PERCENT) -> DataFrame:
     """Per row of ``docs``: the counts, one boolean per rule (``fails_<rule>``), ``base_failed`` and ``kept``."""
     d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    d = d.select("doc_id", "_text", F.filter(F.split("_text", SPACE), lambda w: w != "").alias("_words"),
+    d = d.select("doc_id", "_text", F.array_remove(F.split("_text", SPACE), "").alias("_words"),
                  F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_lines"))
     d = d.select("doc_id", *[c.alias(n) for n, c in metric_columns("_text").items()])
     rules = rule_columns(thresholds)
