@@ -110,14 +110,15 @@ def grams(h: np.ndarray, k: int, seed: int) -> np.ndarray:
     return mix(out)
 
 
-def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
-    """Minimum of every ``w`` consecutive values."""
-    span, out = 1, x
-    while span * 2 <= w:
-        out = np.minimum(out[:-span], out[span:]) if len(out) > span else out[:0]
-        span *= 2
-    rest = w - span
-    return out if not rest else (np.minimum(out[:-rest], out[rest:]) if len(out) > rest else out[:0])
+def sliding_argmin(x: np.ndarray, w: int) -> np.ndarray:
+    """Place of the leftmost minimum of every ``w`` consecutive values."""
+    span, at, least = 1, np.arange(len(x)), x
+    while span < w and len(at):
+        step = min(span, w - span)
+        right = least[step:] < least[:-step]
+        at, least = np.where(right, at[step:], at[:-step]), np.where(right, least[step:], least[:-step])
+        span += step
+    return at
 
 
 def covered(n: int, start: np.ndarray, length) -> np.ndarray:

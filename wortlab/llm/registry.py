@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import op4_quality
+from . import op4_quality, op7_decontam, op8_simhash, op10_substring
 
-MODULES = (op4_quality,)
+MODULES = (op4_quality, op7_decontam, op8_simhash, op10_substring)
 QUERIES = {m.NAME: m.query for m in MODULES}
 SQL = {m.NAME: m.SQL for m in MODULES if m.SQL is not None}
