@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from . import op4_quality, op7_decontam, op8_simhash, op10_substring
+from . import (op1_chat, op2_warc, op3_langid, op4_quality, op5_packing, op6_simple8b, op7_decontam, op8_simhash, op9_license,
+               op10_substring)
 
-MODULES = (op4_quality, op7_decontam, op8_simhash, op10_substring)
+MODULES = (op1_chat, op2_warc, op3_langid, op4_quality, op5_packing, op6_simple8b, op7_decontam, op8_simhash, op9_license,
+           op10_substring)
 QUERIES = {m.NAME: m.query for m in MODULES}
 SQL = {m.NAME: m.SQL for m in MODULES if m.SQL is not None}
