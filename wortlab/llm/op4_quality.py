@@ -47,6 +47,10 @@ def _let(value: Column, body) -> Column:
 
 def repeated_window_words(words: Column) -> Column:
     """Words inside a three-word window that the text has at least twice, the first one included."""
+    return _let(words, _repeated_window_words)
+
+
+def _repeated_window_words(words: Column) -> Column:
     last = F.size(words) - 2
     hashes = F.transform(F.sequence(F.lit(0), last - 1),
                          lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
@@ -104,10 +108,16 @@ def rule_columns(thresholds=THRESHOLDS) -> dict[str, Column]:
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresholds=THRESHOLDS,
                   min_words: int = BASE_WORDS, max_repeat_percent: int = BASE_REPEAT_PERCENT) -> DataFrame:
     """Per row of ``docs``: the counts, one boolean per rule (``fails_<rule>``), ``base_failed`` and ``kept``."""
+    return _judged(docs, id_col, text_col, thresholds, min_words, max_repeat_percent).drop("_at")
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, thresholds=THRESHOLDS, min_words: int = BASE_WORDS,
+            max_repeat_percent: int = BASE_REPEAT_PERCENT) -> DataFrame:
+    """``quality_rules`` with a column ``_at``: a filter that names it is not moved below the split into words and lines."""
     d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     d = d.select("doc_id", "_text", F.array_remove(F.split("_text", SPACE), "").alias("_words"),
-                 F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_lines"))
-    d = d.select("doc_id", *[c.alias(n) for n, c in metric_columns("_text").items()])
+                 F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_lines"), F.monotonically_increasing_id().alias("_at"))
+    d = d.select("doc_id", "_at", *[c.alias(n) for n, c in metric_columns("_text").items()])
     rules = rule_columns(thresholds)
     d = d.withColumns({f"fails_{n}": c for n, c in rules.items()} | {
         "base_failed": (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))})
@@ -122,8 +132,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with the columns of ``docs``: a projection and a filter, no join."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    judged = quality_rules(docs.select(row, F.col("text").alias("text")), id_col="row")
-    return judged.where("kept").select("doc_id.*")
+    judged = _judged(docs.select(row, F.col("text").alias("text")), "row", "text")
+    return judged.where(F.col("kept") & (F.col("_at") >= 0)).select("doc_id.*")
 
 
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
