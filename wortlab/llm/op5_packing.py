@@ -108,9 +108,10 @@ class _Stream:
         cost[stop] = 0
         cost[0] = 0
         known = np.flatnonzero(cost >= 0)
-        wide = np.flatnonzero(np.diff(known) > GAP)
+        gap = min(GAP, max(self.size // 4, 1))
+        wide = np.flatnonzero(np.diff(known) > gap)
         for a, b in zip(known[wide].tolist(), known[wide + 1].tolist()):
-            cost[a + GAP:b:GAP] = INSIDE_COST
+            cost[a + gap:b:gap] = INSIDE_COST
         if last:
             tail = cost[max(len(ids) - self.size, 1):-1]
             tail[tail < 0] = INSIDE_COST
