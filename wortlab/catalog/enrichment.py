@@ -35,10 +35,10 @@ def _scratch(spark, name):
 _TARGET_SQL = "tgt AS (SELECT doc_id AS article_id, text FROM documents WHERE lang = 'de')"
 
 
-@query("sentiment", f"WITH {_TARGET_SQL} SELECT article_id, {rule_sentiment_sql('text')} AS sentiment FROM tgt")
+@query("sentiment", f"WITH {_TARGET_SQL} SELECT article_id, {rule_sentiment_sql('text', M.SENTIMENT_CHARS)} AS sentiment FROM tgt")
 def sentiment_q(spark, sf_dir):
     """M2 label per text (first 516 characters), lower-cased."""
-    return M.sentiment(_target(spark, sf_dir)).select("article_id", "sentiment")
+    return M.sentiment(_target(spark, sf_dir), max_chars=M.SENTIMENT_CHARS).select("article_id", "sentiment")
 
 
 @query("sentiment_rowwise", f"WITH {_TARGET_SQL} SELECT article_id, {rule_sentiment_sql('text')} AS sentiment FROM tgt")
@@ -50,35 +50,36 @@ def sentiment_rowwise(spark, sf_dir):
 @query("sentiment_batched", f"WITH {_TARGET_SQL} SELECT article_id, {rule_sentiment_sql('text', None)} AS sentiment FROM tgt")
 def sentiment_batched(spark, sf_dir):
     """M4 full-text variant in sub-batches of 32 (a failing batch -> unknown)."""
-    return M.sentiment(_target(spark, sf_dir), max_chars=None, batch_size=32).select("article_id", "sentiment")
+    return M.sentiment(_target(spark, sf_dir), batch_size=32).select("article_id", "sentiment")
 
 
 @query("batch_infer", f"""WITH {_TARGET_SQL}
 SELECT article_id, 'echo:' || CAST(len(list_filter(regexp_split_to_array('Summarise: ' || text, '[ \\t\\n\\r\\f]+'), lambda x: x <> '')) AS VARCHAR) AS answer FROM tgt""")
 def batch_infer(spark, sf_dir):
     """M1 one answer per prompt through the back end (generic task)."""
-    t = _target(spark, sf_dir).withColumn("prompt", F.concat(F.lit("Summarise: "), F.col("text")))
-    return M.infer(t, {"answer": "echo"}, prompt_col="prompt").select("article_id", "answer")
+    prompt = F.concat(F.lit("Summarise: "), F.col("text"))
+    return M.infer(_target(spark, sf_dir), {"answer": "echo"}, prompts={"echo": prompt}).select("article_id", "answer")
 
 
 @query("tone", f"WITH {_TARGET_SQL} SELECT article_id, CASE WHEN contains(text, '!') THEN 'informal' ELSE 'formal' END AS tone FROM tgt")
 def tone(spark, sf_dir):
     """M5 formal / informal, answer normalised and validated."""
-    raw = M.infer(_target(spark, sf_dir), {"tone_raw": "tone"})
+    raw = M.infer(_target(spark, sf_dir), {"tone_raw": "tone"}, prompts=M.build_prompts("text", None), system=M.SYSTEM)
     return raw.select("article_id", M.validated("tone_raw", M.TONES).alias("tone"))
 
 
 @query("topic", f"WITH {_TARGET_SQL} SELECT article_id, {rule_topic_sql('text')} AS topic FROM tgt")
 def topic(spark, sf_dir):
     """M6 one of five categories."""
-    raw = M.infer(_target(spark, sf_dir), {"topic_raw": "topic"})
+    raw = M.infer(_target(spark, sf_dir), {"topic_raw": "topic"}, prompts=M.build_prompts("text", None), system=M.SYSTEM)
     return raw.select("article_id", M.validated("topic_raw", M.TOPICS).alias("topic"))
 
 
 @query("summary", f"WITH {_TARGET_SQL} SELECT article_id, {rule_summary_sql('text')} AS summary FROM tgt")
 def summary(spark, sf_dir):
     """M7 short summary (rule back end: the first three sentences)."""
-    return M.infer(_target(spark, sf_dir), {"summary": "summary"}).select("article_id", "summary")
+    return M.infer(_target(spark, sf_dir), {"summary": "summary"}, prompts=M.build_prompts("text", None), system=M.SYSTEM) \
+        .select("article_id", "summary")
 
 
 @query("loanword_context", _w("""
@@ -86,7 +87,7 @@ SELECT article_id, CAST(len(lw) AS VARCHAR) || ' English loanwords; most used: '
 def loanword_context(spark, sf_dir):
     """M8 why the article uses English words (rule: count and top words)."""
     df = PE.enrichment_input(spark, sf_dir)
-    return M.infer(df, {"loanword_context": "loanword_context"}, list_col="loanwords").select("article_id", "loanword_context")
+    return M.infer(df, {"loanword_context": "loanword_context"}, list_col="loanwords", prompts=M.build_prompts(), system=M.SYSTEM).select("article_id", "loanword_context")
 
 
 @query("marketing_loanwords", _w(f"""
@@ -95,7 +96,7 @@ FROM enrich_in"""))
 def marketing_loanwords(spark, sf_dir):
     """M10 loanwords used for marketing."""
     df = PE.enrichment_input(spark, sf_dir)
-    return M.infer(df, {"marketing_loanwords": "marketing_loanwords"}, list_col="loanwords") \
+    return M.infer(df, {"marketing_loanwords": "marketing_loanwords"}, list_col="loanwords", prompts=M.build_prompts(), system=M.SYSTEM) \
         .select("article_id", "marketing_loanwords")
 
 
@@ -104,7 +105,7 @@ SELECT article_id, array_to_string({rule_countries_sql('text')}, '|') AS countri
        CASE WHEN len({rule_countries_sql('text')}) > 0 THEN 'named in the text' ELSE 'none named' END AS reason FROM enrich_in"""))
 def country_influence(spark, sf_dir):
     """M11 JSON answer parsed into countries and reason."""
-    raw = M.infer(_target(spark, sf_dir), {"ci_raw": "country_influence"})
+    raw = M.infer(_target(spark, sf_dir), {"ci_raw": "country_influence"}, prompts=M.build_prompts("text", None), system=M.SYSTEM)
     ci = M.country_struct("ci_raw")
     return raw.select("article_id", F.array_join(ci["countries"], "|").alias("countries"), ci["reason"].alias("reason"))
 
@@ -123,15 +124,16 @@ def unwanted_loanwords(spark, sf_dir):
     return out.select("article_id", F.array_join("excluded_loanwords", " ").alias("excluded_loanwords"))
 
 
-@query("build_prompts", _w(f"""
-SELECT article_id, length({_q('Answer with one word, formal or informal: what is the tone of this article?' + chr(10) + chr(10))} || text) AS tone_prompt_chars,
-       length({_q('Loanwords: ')} || array_to_string(lw, ', ')) AS list_prompt_head_chars FROM enrich_in"""))
+_PROMPTS = M.PROMPT_PARTS
+
+
+@query("build_prompts", _w("SELECT article_id, " + ", ".join(
+    f"sha256({' || '.join('text' if x == 'text' else 'array_to_string(lw, chr(44) || chr(32))' if x == 'words' else _q(x) for x in parts)}) AS {task}"
+    for task, parts in _PROMPTS.items()) + " FROM enrich_in"))
 def build_prompts(spark, sf_dir):
-    """M12 prompt texts as columns (sizes reported; texts are long)."""
+    """M12 the prompts of all seven tasks, compared by the hash of their whole text."""
     df = PE.enrichment_input(spark, sf_dir)
-    p = M.build_prompts("text", "loanwords")
-    return df.select("article_id", F.length(p["tone"]).alias("tone_prompt_chars"),
-                     F.length(F.concat(F.lit("Loanwords: "), F.array_join("loanwords", ", "))).alias("list_prompt_head_chars"))
+    return df.select("article_id", *[F.sha2(p, 256).alias(t) for t, p in M.build_prompts("text", "loanwords").items()])
 
 
 @query("enrich_articles", _w(f"""
@@ -153,39 +155,35 @@ def attach_predictions(spark, sf_dir):
     return M.sentiment(t).select("article_id", "sentiment", F.length("text").alias("n_chars"))
 
 
-@query("enrich_resumable", _w("SELECT article_id FROM enrich_in"))
+_EXCLUDED = f"""
+dfreq AS (SELECT word FROM loantok GROUP BY word HAVING count(DISTINCT article_id) > 0.5 * (SELECT count(*) FROM articles)),
+exl AS (SELECT list(word) AS exl FROM (SELECT word FROM dfreq UNION SELECT unnest([{_inlist(M.BOILERPLATE)}]) AS word))"""
+
+
+@query("enrich_resumable", _w(f"""
+SELECT article_id, CASE WHEN contains(text, '!') THEN 'informal' ELSE 'formal' END AS tone, {rule_topic_sql('text')} AS topic_label,
+       {rule_summary_sql('text')} AS summary, coalesce(array_to_string(list_filter(lw, lambda w: NOT list_contains(exl, w)), ' '), '') AS refined_loanwords
+FROM enrich_in, exl""", "," + _EXCLUDED))
 def enrich_resumable(spark, sf_dir):
-    """C4 three resumed runs of 'next 50 articles' then one without limit:
-    every article enriched exactly once."""
+    """C4 two resumed runs of 'next 50 articles' then one without limit:
+    every article enriched and refined exactly once."""
     out, err = _scratch(spark, "enriched"), _scratch(spark, "enrich-errors")
     df = PE.enrichment_input(spark, sf_dir).checkpoint(eager=True)
-    for limit in (50, 50, 50, None):
-        PE.enrich_resumable(spark, df, out, err, limit=limit)
-    return spark.read.parquet(out).select("article_id")
+    for limit in (50, 50, None):
+        PE.enrich_resumable(spark, df, out, err, limit=limit, refine=True)
+    return spark.read.parquet(out).select("article_id", "tone", "topic_label", "summary", F.array_join("refined_loanwords", " ").alias("refined_loanwords"))
 
 
-@query("clean_loanwords", _w(f""",
-dfreq AS (SELECT word FROM loantok GROUP BY word HAVING count(DISTINCT article_id) > 0.5 * (SELECT count(*) FROM articles)),
-exl AS (SELECT list(word) AS exl FROM (SELECT word FROM dfreq UNION SELECT unnest([{_inlist(M.BOILERPLATE)}]) AS word))
+@query("clean_loanwords", _w("""
 SELECT article_id, coalesce(array_to_string(list_filter(lw, lambda w: NOT list_contains(exl, w)), ' '), '') AS refined_loanwords
-FROM enrich_in, exl""").replace(",\n,\ndfreq", ",\ndfreq"))
+FROM enrich_in, exl""", "," + _EXCLUDED))
 def clean_loanwords(spark, sf_dir):
-    """C5 run twice: the second run adds no row, lists are not encoded twice.
-    The document frequencies come from the whole corpus (one pass)."""
+    """C5 in batches of 50, 50 and the rest, then once more: the result of one run, no row twice."""
     from ..plans.articles import loanword_articles
     path = _scratch(spark, "loanword-progress")
-    a = loanword_articles(spark, sf_dir, with_lists=True)
-    flagged = M.unwanted_loanwords(a, "loanwords", "excluded_loanwords")
-    prog = L.refine_loanwords(flagged).select("article_id", "loanwords", "excluded_loanwords", "refined_loanwords")
-    prog = prog.checkpoint(eager=True)
-    for _ in range(2):
-        todo = prog
-        from ..plans.crawl import _exists
-        from ..operators import incremental as I
-        if _exists(spark, path):
-            todo = I.skip_done_ids(todo, spark.read.parquet(path).select("article_id"), "article_id")
-        FS.append_results(todo.select("article_id", "excluded_loanwords", "refined_loanwords"), path)
-    back = spark.read.parquet(path)
+    a = loanword_articles(spark, sf_dir, with_lists=True).checkpoint(eager=True)
+    for limit in (50, 50, None, None):
+        back = PE.clean_loanwords(spark, a, path, limit=limit)
     return back.select("article_id", F.array_join("refined_loanwords", " ").alias("refined_loanwords"))
 
 
@@ -216,7 +214,7 @@ ptop AS (SELECT page_id, string_agg(word, ' ' ORDER BY rk) AS top3 FROM (
     FROM ploan GROUP BY 1, 2) WHERE rk <= 3 GROUP BY 1)
 SELECT b.page_id, b.url, b.year, b.word_count, CAST(coalesce(n, 0) AS INTEGER) AS loanword_count,
        {r("round(CASE WHEN b.word_count = 0 THEN 0.0 ELSE coalesce(n, 0) / b.word_count END, 4)", "loanword_density")},
-       coalesce(top3, '') AS top_loanwords, {rule_sentiment_sql('b.text')} AS sentiment
+       coalesce(top3, '') AS top_loanwords, {rule_sentiment_sql('b.text', M.SENTIMENT_CHARS)} AS sentiment
 FROM built_articles b LEFT JOIN pcnt USING (page_id) LEFT JOIN ptop USING (page_id)"""
 
 

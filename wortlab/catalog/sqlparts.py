@@ -180,7 +180,7 @@ def rule_tokens_sql(text: str) -> str:
     return f"regexp_extract_all(lower(coalesce({text}, '')), {_q(_M.WORD_RE)})"
 
 
-def rule_sentiment_sql(text: str, max_chars: int | None = _M.SENTIMENT_CHARS) -> str:
+def rule_sentiment_sql(text: str, max_chars: int | None = None) -> str:
     t = f"left(coalesce({text}, ''), {max_chars})" if max_chars else f"coalesce({text}, '')"
     toks = rule_tokens_sql(t)
     score = (f"(len(list_filter({toks}, lambda x: x IN ({_inlist(_M.POSITIVE)}))) - "

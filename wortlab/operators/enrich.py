@@ -1,23 +1,22 @@
 """Model-backed enrichment (inventory M1-M12, J6) with pluggable back ends.
 
 The reference sends one blocking request per article and task to a local
-model server.  Here inference is a ``mapInPandas`` stage: every task of the
-job runs its partitions through a back end created once per Python worker,
-in sub-batches (32 by default) of each Arrow batch.  Failures are isolated:
-a sub-batch is retried, then answered row by row, and rows that still fail
-get the sentinel answer - the job never dies on one bad row.
-
-Back ends are looked up by name; ``rules`` is a deterministic back end for
-tests and for the SQL oracle.  A real model client registers with
-``register_backend(name, factory)``; the factory runs on the executors.
+model server.  Here the answers come from deterministic rules, written as
+column expressions (the default; the SQL oracle spells them out), or from a
+registered back end: a ``mapInPandas`` stage in which every task of the job
+runs its partitions through a client created once per Python worker, in
+sub-batches (32 by default) of each Arrow batch.  Every model task gets its
+own prompt and messages.  Failures are isolated: a sub-batch is retried,
+then answered row by row, and rows that still fail, or batches with a wrong
+number of answers, get the sentinel - the job never dies on one bad row.
+
+A model client registers with ``register_backend(name, factory)``; the
+factory runs on the executors.
 """
 
 from __future__ import annotations
 
-import json
-import re
 import time
-from collections import Counter
 from typing import Callable
 
 import pandas as pd
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from ..functions.text import lower_trim, split_csv_list
+from ..functions.text import lower_trim, split_csv_list, strip_boundary, word_count
 
 # fixed values: answer domains and rule back end word lists
 TONES = ("formal", "informal")
@@ -47,85 +46,77 @@ MARKETING = ("deal", "sale", "premium", "brand", "marketing", "shopping", "lifes
              "business", "design", "team", "service", "online", "event")
 WORD_RE = r"[a-zäöüß]+"          # rule tokens: lower-case letter runs
 SENTENCE_RE = r"[^.!?]+[.!?]*"   # rule sentences
-SENTIMENT_CHARS = 516            # fixed value: prefix scored by the sentiment model
+SENTIMENT_CHARS = 516            # fixed value: prefix scored by the first sentiment variant
+RULES = "rules"
+SYSTEM = "You read German news articles and answer in the format that is asked for, without any other words."
 
 
-# ------------------------------------------------------------------ back ends
-
-def _tokens(text: str) -> list[str]:
-    return re.findall(WORD_RE, (text or "").lower())
-
-
-def _top(words: list[str], k: int = 3) -> list[str]:
-    return [w for w, _ in Counter(words).most_common(k)]
-
-
-class RuleBackend:
-    """Deterministic answers from the article text / loanword list."""
-
-    def answer(self, task: str, rows: pd.DataFrame) -> list[str]:
-        fn = getattr(self, f"_{task}", None)
-        if fn is None:
-            return [f"{task}:{len((p or '').split())}" for p in rows["prompt"]]
-        return [fn(t, lw) for t, lw in zip(rows["text"], rows["loanwords"])]
-
-    @staticmethod
-    def _sentiment(text, lw):
-        toks = _tokens(text)
-        score = sum(t in POSITIVE for t in toks) - sum(t in NEGATIVE for t in toks)
-        return "Positive" if score > 0 else "Negative" if score < 0 else "Neutral"
-
-    @staticmethod
-    def _tone(text, lw):
-        return " Informal\n" if "!" in (text or "") else "Formal"
+# ------------------------------------------------------------------ rules
 
-    @staticmethod
-    def _topic(text, lw):
-        toks = _tokens(text)
-        hits = [sum(t in TOPIC_WORDS[c] for t in toks) for c in TOPICS]
-        return TOPICS[hits.index(max(hits))].capitalize()
+def _top(words: F.Column, k: int = 3) -> F.Column:
+    """The k most frequent words of a list, ties by first occurrence."""
+    ranked = F.sort_array(F.transform(F.array_distinct(words), lambda w, i: F.struct(
+        (-F.size(F.filter(words, lambda x: x == w))).alias("n"), i.alias("i"), w.alias("w"))))
+    return F.transform(F.slice(ranked, 1, k), lambda e: e["w"])
 
-    @staticmethod
-    def _summary(text, lw):
-        parts = [s.strip() for s in re.findall(SENTENCE_RE, text or "")]
-        return " ".join([s for s in parts if s][:3])
 
-    @staticmethod
-    def _loanword_context(text, lw):
-        lw = list(lw) if lw is not None else []
-        return f"{len(lw)} English loanwords; most used: {', '.join(_top(lw))}"
+def rule_answer(task: str, text: F.Column, words: F.Column, prompt: F.Column) -> F.Column:
+    """The deterministic answer of the rules to one task, from built-in functions only."""
+    tokens = F.regexp_extract_all(F.lower(text), F.lit(WORD_RE), 0)
 
-    @staticmethod
-    def _marketing_loanwords(text, lw):
-        return ", ".join(sorted({w for w in (lw if lw is not None else []) if w in MARKETING}))
+    def among(values):
+        return F.size(F.filter(tokens, lambda t: t.isin(*values)))
 
-    @staticmethod
-    def _country_influence(text, lw):
-        padded = " " + " ".join(_tokens(text)) + " "
-        found = [c for c in COUNTRIES if f" {c.lower()} " in padded]
-        return json.dumps({"countries": found, "reason": "named in the text" if found else "none named"})
+    if task == "sentiment":
+        score = among(POSITIVE) - among(NEGATIVE)
+        return F.when(score > 0, "Positive").when(score < 0, "Negative").otherwise("Neutral")
+    if task == "tone":
+        return F.when(text.contains("!"), " Informal\n").otherwise("Formal")
+    if task == "topic":
+        hits = {c: among(TOPIC_WORDS[c]) for c in TOPICS}
+        most, out = F.greatest(*hits.values()), F
+        for c in TOPICS:
+            out = out.when(hits[c] == most, c.capitalize())
+        return out
+    if task == "summary":
+        sentences = F.transform(F.regexp_extract_all(text, F.lit(SENTENCE_RE), 0), strip_boundary)
+        return F.array_join(F.slice(F.filter(sentences, lambda x: x != ""), 1, 3), " ")
+    if task == "loanword_context":
+        return F.concat(F.size(words).cast("string"), F.lit(" English loanwords; most used: "), F.array_join(_top(words), ", "))
+    if task == "marketing_loanwords":
+        return F.array_join(F.sort_array(F.array_distinct(F.filter(words, lambda w: w.isin(*MARKETING)))), ", ")
+    if task == "country_influence":
+        padded = F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" "))
+        found = F.filter(F.array(*map(F.lit, COUNTRIES)), lambda c: padded.contains(F.concat(F.lit(" "), F.lower(c), F.lit(" "))))
+        reason = F.when(F.size(found) > 0, "named in the text").otherwise("none named")
+        return F.to_json(F.struct(found.alias("countries"), reason.alias("reason")))
+    if task == "unwanted_loanwords":
+        return F.array_join(F.filter(F.array_distinct(words), lambda w: w.isin(*BOILERPLATE)), ", ")
+    return F.concat(F.lit(f"{task}:"), word_count(prompt).cast("string"))
 
-    @staticmethod
-    def _unwanted_loanwords(text, lw):
-        return ", ".join(w for w in dict.fromkeys(lw if lw is not None else []) if w in BOILERPLATE)
 
+# ------------------------------------------------------------------ back ends
 
-_FACTORIES: dict[str, Callable[[], object]] = {"rules": RuleBackend}
-_INSTANCES: dict[str, object] = {}
+_FACTORIES: dict[str, tuple[int, Callable[[], object]]] = {}
+_INSTANCES: dict[str, tuple[int, object]] = {}
 
 
 def register_backend(name: str, factory: Callable[[], object]) -> None:
-    """Register a back end factory (an object with ``answer(task, rows)``)."""
-    _FACTORIES[name] = factory
+    """Register a back end factory: an object with ``answer(task, rows)``,
+    one answer per row; ``rows`` has text, loanwords, prompt and messages."""
+    if name == RULES:
+        raise ValueError("the rules are no back end")
+    _FACTORIES[name] = (_FACTORIES.get(name, (0, None))[0] + 1, factory)
 
 
-def get_backend(name: str, factory: Callable[[], object] | None = None):
-    """One instance per Python worker process (created on first use).  The
-    factory is resolved on the driver and shipped with the task closure, so
-    back ends registered in the driver work on every executor."""
-    if name not in _INSTANCES:
-        _INSTANCES[name] = (factory or _FACTORIES[name])()
-    return _INSTANCES[name]
+def get_backend(name: str, registered: tuple[int, Callable[[], object]]):
+    """One instance per Python worker and registration.  The factory is
+    resolved on the driver and shipped with the task closure, so back ends
+    registered in the driver work on every executor."""
+    version, factory = registered
+    if _INSTANCES.get(name, (None,))[0] != version:
+        _INSTANCES[name] = (version, factory())
+    return _INSTANCES[name][1]
 
 
 def call_with_retries(fn: Callable[[], list[str]], retries: int = 3, delay: float = 2.0):
@@ -144,80 +135,98 @@ def call_with_retries(fn: Callable[[], list[str]], retries: int = 3, delay: floa
 
 def _answer_batch(be, task: str, sub: pd.DataFrame, retries: int, delay: float, sentinel: str,
                   row_fallback: bool) -> list[str]:
+    def ask(rows):
+        answers = list(be.answer(task, rows))
+        if len(answers) != len(rows):
+            raise ValueError(f"{len(answers)} answers to {len(rows)} rows")
+        return answers
+
     try:
-        return call_with_retries(lambda: be.answer(task, sub), retries, delay)
+        return call_with_retries(lambda: ask(sub), retries, delay)
     except Exception:  # noqa: BLE001
         if not row_fallback:
             return [sentinel] * len(sub)
         out = []
         for i in range(len(sub)):
             try:
-                out.extend(call_with_retries(lambda: be.answer(task, sub.iloc[i:i + 1]), retries, delay))
+                out.extend(call_with_retries(lambda: ask(sub.iloc[i:i + 1]), retries, delay))
             except Exception:  # noqa: BLE001
                 out.append(sentinel)
         return out
 
 
-def infer(df: DataFrame, tasks: dict[str, str], backend: str = "rules", text_col: str = "text",
-          list_col: str | None = None, prompt_col: str | None = None, batch_size: int = 32,
-          retries: int = 3, delay: float = 2.0, sentinel: str = "error", row_fallback: bool = True,
-          max_chars: int | None = None) -> DataFrame:
+def messages(prompt: str, system: str | None) -> list[dict[str, str]]:
+    """The messages of one request: the system message, if any, and the prompt."""
+    return [*([{"role": "system", "content": system}] if system else []), {"role": "user", "content": prompt}]
+
+
+def infer(df: DataFrame, tasks: dict[str, str], backend: str = RULES, text_col: str = "text",
+          list_col: str | None = None, prompts: dict[str, F.Column] | None = None, system: str | None = None,
+          batch_size: int = 32, retries: int = 3, delay: float = 2.0, sentinel: str = "error",
+          row_fallback: bool = True, max_chars: int | None = None) -> DataFrame:
     """M1 / C3 one raw text answer per row and task -> new string columns
-    (J6: the answers are attached to their rows inside the same batch)."""
+    (J6: the answers are attached to their rows inside the same batch).
+
+    ``tasks`` maps output columns to tasks, ``prompts`` tasks to their prompt
+    columns.  The rules are column expressions; a registered back end runs
+    in ``mapInPandas`` and gets each task's own prompt and messages."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    if max_chars:
+        text = F.substring(text, 1, max_chars)
+    words = F.coalesce(F.col(list_col), F.array().cast("array<string>")) if list_col else F.array().cast("array<string>")
+    prompt = {t: (prompts or {}).get(t, F.lit("")) for t in tasks.values()}
+    if backend == RULES:
+        return df.select("*", *[rule_answer(t, text, words, prompt[t]).alias(c) for c, t in tasks.items()])
     out_schema = StructType(df.schema.fields + [StructField(c, StringType(), True) for c in tasks])
-    cols = df.columns
-    factory = _FACTORIES[backend]
+    cols, registered, asked = df.columns, _FACTORIES[backend], list(dict.fromkeys(tasks.values()))
+    given = df.select("*", text.alias("_text"), words.alias("_words"), *[prompt[t].alias(f"_prompt_{i}") for i, t in enumerate(asked)])
 
     def run(batches):
-        be = get_backend(backend, factory)
+        be = get_backend(backend, registered)
         for pdf in batches:
-            view = pd.DataFrame({
-                "text": pdf[text_col].fillna("").astype(str).str.slice(0, max_chars) if max_chars
-                else pdf[text_col].fillna("").astype(str),
-                "loanwords": pdf[list_col] if list_col else pd.Series([None] * len(pdf), index=pdf.index),
-                "prompt": pdf[prompt_col] if prompt_col else pd.Series([""] * len(pdf), index=pdf.index),
-            })
-            answers = {c: [] for c in tasks}
-            for start in range(0, len(pdf), batch_size):
-                sub = view.iloc[start:start + batch_size]
-                for c, task in tasks.items():
-                    answers[c].extend(_answer_batch(be, task, sub, retries, delay, sentinel, row_fallback))
+            answers = {t: [] for t in asked}
+            for i, task in enumerate(asked):
+                view = pd.DataFrame({"text": pdf["_text"], "loanwords": pdf["_words"], "prompt": pdf[f"_prompt_{i}"],
+                                     "messages": [messages(p, system) for p in pdf[f"_prompt_{i}"]]})
+                for start in range(0, len(pdf), batch_size):
+                    answers[task].extend(_answer_batch(be, task, view.iloc[start:start + batch_size], retries, delay, sentinel, row_fallback))
             out = pdf[cols].copy()
-            for c in tasks:
-                out[c] = answers[c]
+            for c, task in tasks.items():
+                out[c] = answers[task]
             yield out
 
-    return df.mapInPandas(run, out_schema)
+    return given.mapInPandas(run, out_schema)
 
 
 # ------------------------------------------------------------------ operators
 
-def sentiment(df: DataFrame, text_col: str = "text", out_col: str = "sentiment", backend: str = "rules",
-              max_chars: int | None = SENTIMENT_CHARS, batch_size: int = 32) -> DataFrame:
+def sentiment(df: DataFrame, text_col: str = "text", out_col: str = "sentiment", backend: str = RULES,
+              max_chars: int | None = None, batch_size: int = 32) -> DataFrame:
     """M2 / M4 label per text, lower-cased; null text scored as ''; a
-    failing batch gives 'unknown' for all its rows."""
+    failing batch gives 'unknown' for all its rows.  The whole text is
+    scored; M2 and H14 pass ``SENTIMENT_CHARS``."""
     raw = infer(df, {out_col: "sentiment"}, backend, text_col, batch_size=batch_size, retries=1, delay=0.0,
                 sentinel="unknown", row_fallback=False, max_chars=max_chars)
     return raw.withColumn(out_col, lower_trim(out_col))
 
 
-def sentiment_rowwise(text_col: str = "text", backend: str = "rules", max_chars: int | None = SENTIMENT_CHARS):
-    """M3 the same as a column function (Arrow-batched pandas UDF)."""
-    factory = _FACTORIES[backend]
+def sentiment_rowwise(text_col: str = "text", backend: str = RULES, max_chars: int | None = None):
+    """M3 the same as a column function (an Arrow-batched pandas UDF for a
+    registered back end)."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    if max_chars:
+        text = F.substring(text, 1, max_chars)
+    if backend == RULES:
+        return lower_trim(rule_answer("sentiment", text, F.array().cast("array<string>"), F.lit("")))
+    registered = _FACTORIES[backend]
 
     @F.pandas_udf(StringType())
     def label(texts: pd.Series) -> pd.Series:
-        be = get_backend(backend, factory)
-        t = texts.fillna("").astype(str)
-        if max_chars:
-            t = t.str.slice(0, max_chars)
-        rows = pd.DataFrame({"text": t, "loanwords": [None] * len(t), "prompt": [""] * len(t)})
-        try:
-            out = be.answer("sentiment", rows)
-        except Exception:  # noqa: BLE001
-            out = ["unknown"] * len(t)
-        return pd.Series([str(x).strip().lower() for x in out])
-    return label(F.col(text_col))
+        be = get_backend(backend, registered)
+        rows = pd.DataFrame({"text": texts, "loanwords": [None] * len(texts), "prompt": [""] * len(texts),
+                             "messages": [messages("", None)] * len(texts)})
+        return pd.Series([str(x).strip().lower() for x in _answer_batch(be, "sentiment", rows, 1, 0.0, "unknown", False)])
+    return label(text)
 
 
 def validated(raw_col: str, domain: tuple[str, ...]) -> F.Column:
@@ -243,7 +252,7 @@ def unwanted_loanwords(df: DataFrame, list_col: str = "loanwords", out_col: str
     no vocabulary is shipped anywhere whole.  With a back end the model
     answer is split by ``split_csv_list``."""
     if backend is not None:
-        raw = infer(df, {"_unwanted": "unwanted_loanwords"}, backend, text_col, list_col)
+        raw = infer(df, {"_unwanted": "unwanted_loanwords"}, backend, text_col, list_col, build_prompts(text_col, list_col), SYSTEM)
         return raw.withColumn(out_col, split_csv_list("_unwanted")).drop("_unwanted")
     # the input is read four times below (article count, document frequency,
     # occurrences, the result); when it is derived (a whole text pass) it is
@@ -265,26 +274,25 @@ def unwanted_loanwords(df: DataFrame, list_col: str = "loanwords", out_col: str
 
 # ------------------------------------------------------------------ prompts
 
-def build_prompts(text_col: str = "text", list_col: str = "loanwords") -> dict[str, F.Column]:
-    """M12 the prompt texts (own wording; same slots and answer formats)."""
-    t = F.coalesce(F.col(text_col), F.lit(""))
-    lw = F.array_join(F.coalesce(F.col(list_col), F.array().cast("array<string>")), ", ")
-    return {
-        "tone": F.concat(F.lit("Answer with one word, formal or informal: what is the tone of this article?\n\n"), t),
-        "topic": F.concat(F.lit("Answer with one word - business, technology, lifestyle, politics or culture: "
-                                "what is this article about?\n\n"), t),
-        "summary": F.concat(F.lit("Summarise this German article in two or three sentences.\n\n"), t),
-        "loanword_context": F.concat(F.lit("This German article uses English words. Why, and what does it tell "
-                                           "about context and readers?\n\n"), t),
-        "marketing_loanwords": F.concat(F.lit("Which English words in this German article serve marketing or "
-                                              "advertising? Return a list.\n\n"), t),
-        "country_influence": F.concat(F.lit("Which countries' culture does this German article reflect? Choose from: "
-                                            + ", ".join(COUNTRIES) + ", or name others. Answer as JSON with "
-                                            "\"countries\" (list) and \"reason\" (short text).\n\n"), t),
-        "unwanted_loanwords": F.concat(F.lit("Loanwords: "), lw, F.lit("\nWhich of these are interface or boilerplate "
-                                       "terms, brand or platform names rather than real loanwords? Return a comma "
-                                       "separated list.\n\n"), t),
-    }
+#: The prompts in own wording: literals, the text and the loanwords, put together in this order.
+PROMPT_PARTS = {
+    "tone": ("Answer with one word, formal or informal: what is the tone of this article?\n\n", "text"),
+    "topic": ("Answer with one word - business, technology, lifestyle, politics or culture: what is this article about?\n\n", "text"),
+    "summary": ("Summarise this German article in two or three sentences.\n\n", "text"),
+    "loanword_context": ("This German article uses English words. Why, and what does it tell about context and readers?\n\n", "text"),
+    "marketing_loanwords": ("Which English words in this German article serve marketing or advertising? Return a list.\n\n", "text"),
+    "country_influence": ("Which countries' culture does this German article reflect? Choose from: " + ", ".join(COUNTRIES)
+                          + ", or name others. Answer as JSON with \"countries\" (list) and \"reason\" (short text).\n\n", "text"),
+    "unwanted_loanwords": ("Loanwords: ", "words", "\nWhich of these are interface or boilerplate terms, brand or platform names rather "
+                           "than real loanwords? Return a comma separated list.\n\n", "text"),
+}
+
+
+def build_prompts(text_col: str = "text", list_col: str | None = "loanwords") -> dict[str, F.Column]:
+    """M12 the prompt of each task as a column."""
+    slots = {"text": F.coalesce(F.col(text_col), F.lit("")),
+             "words": F.array_join(F.coalesce(F.col(list_col), F.array().cast("array<string>")), ", ") if list_col else F.lit("")}
+    return {task: F.concat(*[slots.get(x, F.lit(x)) for x in parts]) for task, parts in PROMPT_PARTS.items()}
 
 
 ENRICH_TASKS = {"tone": "tone", "topic": "topic", "summary": "summary", "loanword_context": "loanword_context",

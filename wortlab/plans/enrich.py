@@ -28,23 +28,25 @@ def enrich_articles(df: DataFrame, backend: str = "rules", batch_size: int = 50,
     """C3 the six model columns for every article in one Python stage; the
     id is kept (the reference's output had no key).  Tone and topic are
     validated against their domains; the country answer is parsed."""
-    prompts = M.build_prompts("text", "loanwords")
-    withp = df.withColumn("prompt", prompts["summary"])
-    raw = M.infer(withp, {f"{k}_raw": v for k, v in M.ENRICH_TASKS.items()}, backend, "text", "loanwords", "prompt",
-                  batch_size=batch_size, retries=retries, delay=delay)
+    FS.require_columns(df, ["text", "loanwords"])
+    raw = M.infer(df, {f"{k}_raw": v for k, v in M.ENRICH_TASKS.items()}, backend, "text", "loanwords",
+                  M.build_prompts("text", "loanwords"), M.SYSTEM, batch_size=batch_size, retries=retries, delay=delay)
     return raw.select("*", M.validated("tone_raw", M.TONES).alias("tone"),
                       M.validated("topic_raw", M.TOPICS).alias("topic_label"),
                       F.col("summary_raw").alias("summary"), F.col("loanword_context_raw").alias("loanword_context"),
                       F.col("marketing_loanwords_raw").alias("marketing_loanwords"),
-                      M.country_struct("country_influence_raw").alias("country_influence")).drop("prompt")
+                      M.country_struct("country_influence_raw").alias("country_influence"))
 
 
 def enrich_resumable(spark: SparkSession, df: DataFrame, out_path: str, err_path: str, id_col: str = "article_id",
-                     limit: int | None = 5, backend: str = "rules") -> None:
-    """C4 skip done ids (J3), take the next ``limit`` (T6), enrich (C3) and
-    append: good rows to the output, rows with an 'error' answer to the
-    error table (with the failing task names)."""
-    todo = df
+                     limit: int | None = None, backend: str = "rules", refine: bool = False) -> None:
+    """C4 skip done ids (J3), take the next ``limit`` (T6; all by default),
+    enrich (C3) and append: good rows to the output, rows with an 'error'
+    answer to the error table (with the failing task names).  ``refine`` adds
+    the unwanted and the refined loanwords (M9, L7); what is unwanted is
+    decided over all of ``df``, so it does not depend on the batch."""
+    FS.require_columns(df, [id_col, "text", "loanwords"])
+    todo = L.refine_loanwords(M.unwanted_loanwords(df, "loanwords", "excluded_loanwords", id_col)) if refine else df
     if _exists(spark, out_path):
         todo = I.skip_done_ids(todo, spark.read.parquet(out_path).select(id_col), id_col)
     todo = I.limit_work(todo, id_col, limit)
@@ -64,14 +66,15 @@ def clean_loanwords(spark: SparkSession, df: DataFrame, progress_path: str, id_c
                     limit: int | None = None, backend: str | None = None) -> DataFrame:
     """C5 skip done ids, limit, detect unwanted words (M9), refine (L7),
     append the new progress rows (arrays stay arrays; JSON only at the CSV
-    edge).  Returns the merged progress (U1)."""
-    todo = df
+    edge).  Returns the merged progress (U1).  The rule counts documents over
+    all of ``df``, so batches of any size give the result of one run."""
+    todo = df if backend is not None else M.unwanted_loanwords(df, "loanwords", "excluded_loanwords", id_col)
     old = None
     if _exists(spark, progress_path):
         old = spark.read.parquet(progress_path)
         todo = I.skip_done_ids(todo, old.select(id_col), id_col)
     todo = I.limit_work(todo, id_col, limit)
-    new = M.unwanted_loanwords(todo, "loanwords", "excluded_loanwords", id_col, backend=backend)
+    new = todo if backend is None else M.unwanted_loanwords(todo, "loanwords", "excluded_loanwords", id_col, backend=backend)
     new = L.refine_loanwords(new).select(id_col, "excluded_loanwords", "refined_loanwords")
     FS.append_results(new, progress_path)
     return spark.read.parquet(progress_path)
@@ -91,7 +94,7 @@ def build_articles_full(spark: SparkSession, pages: DataFrame, sf_dir: str, back
     sentiment (M2 on the first 516 characters)."""
     # parse + model once: the scored table is checkpointed (shared folder),
     # both the loanword stage and the output read it from there
-    scored = M.sentiment(parse_pages(pages), "text", "sentiment", backend).checkpoint(eager=True)
+    scored = M.sentiment(parse_pages(pages), "text", "sentiment", backend, M.SENTIMENT_CHARS).checkpoint(eager=True)
     lex = english_lexicon(spark, sf_dir)
     lw = L.loanword_table(scored.select("page_id", "text"), lex, id_col="page_id", with_lists=True).drop("word_count")
     return (scored.join(lw, "page_id")

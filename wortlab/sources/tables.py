@@ -29,26 +29,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _LOADED[key]
 
 
-_SPLIT_HINT: dict[tuple, bool] = {}
-
-
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Spread a text-heavy scan over the cluster when the files give fewer
-    splits than there are task slots (a single-row-group file is one task).
-    Hash partitioning on the row id is deterministic under task retry.  At
-    scale the input has many files and nothing is added.  The decision
-    looks at the file list only (no planning of the whole query) and is
-    remembered per input.  (Planned splits would overstate the parallelism:
-    a file with one row group is split by bytes, but only one split reads
-    rows.)  The list of names is the driver's file index; it holds one
-    string per file."""
-    files = df.inputFiles()
-    n = len(files)
-    hint_key = (n, files[0] if n else "")
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if hint_key not in _SPLIT_HINT:
-        _SPLIT_HINT[hint_key] = n < slots
-    return df.repartition(slots * 2, key) if _SPLIT_HINT[hint_key] else df
+    """``df`` as it is, unless ``spark.wortlab.spreadPartitions`` asks for
+    that many hash partitions of it (off by default: it shuffles the text;
+    of use only for a few files of one row group each)."""
+    n = int(df.sparkSession.conf.get("spark.wortlab.spreadPartitions", "0"))
+    return df.repartition(n, key) if n else df
 
 
 def documents_base(spark: SparkSession, sf_dir: str) -> DataFrame:
