@@ -53,3 +53,32 @@ def test_url_filters(spark):
     assert "https://a.de/video/x.html" in as_published
     urls2 = spark.createDataFrame([(u,) for u in ["https://a.de/x", "https://b.de/x", "https://a.de/live/x"]], "url string")
     assert {r.url for r in FL.filter_article_urls_prefix(urls2, "https://a.de/").collect()} == {"https://a.de/x"}
+
+
+def test_entities_and_quotes(spark):
+    rows = [('<meta property="og:title" content="Fahrrad-Trend: So geht\'s richtig">', "Fahrrad-Trend: So geht's richtig"),
+            ("<meta property='og:title' content='Sie sagt \"ja\" &amp; geht'>", 'Sie sagt "ja" & geht'),
+            ("<title>\n  Neue Wege\n</title>", "Neue Wege"), ("<title>&lt;b&gt; M&uuml;nchen</title>", "<b> München")]
+    got = spark.createDataFrame(rows, "html string, want string").select(H.headline("html").alias("v"), "want").collect()
+    assert [r.v for r in got] == [r.want for r in got]
+    texts = [("M&uuml;nchen &#252;ber &ndash; Stra&szlig;e", "München über – Straße"), ("a&nbsp;b", "a b"), ("&amp;lt; &#x1F600; &unbekannt; & &;", "&lt; 😀 &unbekannt; & &;"),
+             ("&#0;&#xD800;&#1114112;", "���"), ("", ""), ("kein", "kein"), (None, None)]
+    got = spark.createDataFrame(texts, "t string, want string").select(H.decode_entities("t").alias("v"), "want").collect()
+    assert [r.v for r in got] == [r.want for r in got]
+
+
+def test_blank_text_and_list_items(spark):
+    from wortlab.functions.text import split_csv_list
+
+    assert FL.filter_non_empty_text(spark.createDataFrame([("\n\n\t ",), ("x",)], "text string")).count() == 1
+    assert spark.createDataFrame([("a,\t,\n b\n,",)], "c string").select(split_csv_list("c").alias("v")).first().v == ["a", "b"]
+
+
+def test_media_pages_are_no_articles(spark):
+    from wortlab.plans.pages import parse_pages
+
+    html = "<p>eins</p>" * 5
+    pages = spark.createDataFrame([(1, "https://a.de/x", html), (2, "https://a.de/bilder/x.jpg", html), (3, "https://a.de/video/x", html), (4, "https://b.de/x", html)],
+                                  "page_id long, url string, html string")
+    assert {r.page_id for r in parse_pages(pages).collect()} == {1, 4}
+    assert {r.page_id for r in parse_pages(pages, "https://a.de/").collect()} == {1}

@@ -11,7 +11,7 @@ from ..sources import sitemaps as SM
 from ..sources.tables import decorated_pages, load, sitemap_name, sitemap_tables, spread
 from . import query
 from .sqlparts import (DPAGES, PARSED, _q, authority_sql, date_sql, headline_sql, jsonld_date_sql, meta_date_sql,
-                       paragraphs_sql, text_sql, url_year_sql)
+                       paragraphs_sql, strip_sql, text_sql, url_year_sql)
 
 
 def _pages(spark, sf_dir):
@@ -106,7 +106,7 @@ def filter_min_paragraphs(spark, sf_dir):
     return FL.filter_min_paragraphs(p).select("page_id")
 
 
-@query("filter_non_empty_text", _w(f"SELECT page_id FROM dpages WHERE trim({text_sql(paragraphs_sql('html'))}) <> ''"))
+@query("filter_non_empty_text", _w(f"SELECT page_id FROM dpages WHERE {strip_sql(text_sql(paragraphs_sql('html')))} <> ''"))
 def filter_non_empty_text(spark, sf_dir):
     """F4 non-empty paragraph text."""
     p = _pages(spark, sf_dir).select("page_id", H.paragraph_text(H.paragraphs("html")).alias("text"))

@@ -57,23 +57,33 @@ def with_articles(body: str) -> str:
 
 # ---------------------------------------------------------------- pages
 from ..functions import html as _H  # noqa: E402
+from ..operators import filters as _F  # noqa: E402
+from ..sources import tables as _T  # noqa: E402
+
+
+_POINTS = ", ".join(f"'{k}': {v}" for k, v in _H.ENTITY_POINTS.items())
 
 
 def decode(expr: str) -> str:
-    out = expr
-    for k, v in _H.ENTITIES:
-        out = f"replace({out}, {_q(k)}, {_q(v)})"
-    return out
+    found, parts = f"regexp_extract_all({expr}, {_q(_H.ENTITY_RE)}, 1)", f"regexp_split_to_array({expr}, {_q(_H.ENTITY_RE)})"
+    one = (f"CASE WHEN e ILIKE '#x%' THEN chr(CAST('0x' || e[3:] AS INTEGER)) WHEN e LIKE '#%' THEN chr(CAST(e[2:] AS INTEGER)) "
+           f"WHEN e IS NULL THEN '' ELSE coalesce(chr(CAST(MAP {{{_POINTS}}}[e] AS INTEGER)), '&' || e || ';') END")
+    return f"array_to_string(list_transform(list_zip({parts}, {found}), lambda z: z[1] || list_transform([z[2]], lambda e: {one})[1]), '')"
+
 
+def strip_sql(expr: str) -> str:
+    return f"regexp_replace({expr}, '^[\\s\\x{{85}}\\p{{Z}}]+|[\\s\\x{{85}}\\p{{Z}}]+$', '', 'g')"
 
-DPAGES = """dpages AS (
+
+DPAGES = f"""dpages AS (
   SELECT page_id,
-         CASE WHEN page_id % 4 = 2 THEN 'https://www.example.com/' || y || '/a' || CAST(page_id AS VARCHAR) || '.html' ELSE url END AS url,
+         CASE WHEN page_id % 4 = 2 THEN 'https://www.example.com/' || y || '/a' || CAST(page_id AS VARCHAR) || '.html' ELSE url END
+           || CASE WHEN page_id % 11 = 3 THEN '/bilder/1.jpg' ELSE '' END AS url,
          CASE WHEN page_id % 10 = 7 THEN 'application/pdf' ELSE 'text/html; charset=utf-8' END AS content_type,
-         replace(html, '<head>', '<head>'
+         replace(replace(replace(html, '<head>', '<head>'
            || CASE WHEN page_id % 4 = 0 THEN '<meta property="article:published_time" content="' || y || '-05-03T08:00:00">' ELSE '' END
-           || CASE WHEN page_id % 4 = 1 THEN '<script type="application/ld+json">{"datePublished":"' || y || '-06-01T00:00:00"}</script>' ELSE '' END
-           || CASE WHEN page_id % 5 = 0 THEN '<meta property="og:title" content=" OG headline ">' ELSE '' END) AS html
+           || CASE WHEN page_id % 4 = 1 THEN '<script type="application/ld+json">{{"datePublished":"' || y || '-06-01T00:00:00"}}</script>' ELSE '' END
+           || CASE WHEN page_id % 5 = 0 THEN {_q(_T.OG_TITLE)} ELSE '' END), '<title>', {_q(_T.TITLE_START)}), '<article>', {_q(_T.ARTICLE_START)}) AS html
   FROM (SELECT *, CAST(2016 + page_id % 8 AS VARCHAR) AS y FROM pages))"""
 
 
@@ -91,9 +101,13 @@ def text_sql(ps: str) -> str:
     return f"array_to_string(list_transform({ps}, lambda p: {decode(strip_tags_sql('p'))}), ' ')"
 
 
+def content_sql(tag: str) -> str:
+    return f"coalesce(nullif(regexp_extract({tag}, {_q(_H.CONTENT_DOUBLE_RE)}, 1), ''), regexp_extract({tag}, {_q(_H.CONTENT_SINGLE_RE)}, 1))"
+
+
 def meta_date_sql(html: str) -> str:
     tag = f"regexp_extract({html}, {_q(_H.META_DATE_TAG_RE)}, 0)"
-    return f"CASE WHEN {tag} <> '' THEN split_part(regexp_extract({tag}, {_q(_H.CONTENT_ATTR_RE)}, 1), 'T', 1) END"
+    return f"CASE WHEN {tag} <> '' THEN split_part({content_sql(tag)}, 'T', 1) END"
 
 
 def jsonld_date_sql(html: str) -> str:
@@ -109,11 +123,11 @@ def url_year_sql(url: str) -> str:
 
 def headline_sql(html: str) -> str:
     og_tag = f"regexp_extract({html}, {_q(_H.OG_TITLE_TAG_RE)}, 0)"
-    og_c = f"regexp_extract({og_tag}, {_q(_H.CONTENT_ATTR_RE)}, 1)"
-    strip = lambda e: f"trim({decode(strip_tags_sql(e))})"
+    og_c = content_sql(og_tag)
+    strip = lambda e: strip_sql(decode(strip_tags_sql(e)))
     title = f"CASE WHEN regexp_matches({html}, {_q(_H.TITLE_RE)}) THEN {strip(f'regexp_extract({html}, {_q(_H.TITLE_RE)}, 1)')} END"
     h1 = f"CASE WHEN regexp_matches({html}, {_q(_H.H1_RE)}) THEN {strip(f'regexp_extract({html}, {_q(_H.H1_RE)}, 1)')} END"
-    return f"coalesce(CASE WHEN {og_c} <> '' THEN trim({og_c}) END, {title}, {h1})"
+    return f"coalesce(CASE WHEN {og_c} <> '' THEN {strip_sql(decode(og_c))} END, {title}, {h1})"
 
 
 def authority_sql(url: str) -> str:
@@ -131,9 +145,10 @@ def words_sql(text: str) -> str:
 PARSED = f"""parsed AS (
   SELECT page_id, url, html, paragraphs AS _ps, len(paragraphs) AS paragraphs FROM (
     SELECT page_id, url, html, {paragraphs_sql('html')} AS paragraphs FROM dpages
-    WHERE contains(coalesce(content_type, ''), 'text/html'))
+    WHERE contains(coalesce(content_type, ''), 'text/html') AND starts_with(url, 'http')
+      AND NOT ({' OR '.join(f"contains(url, {_q(x)})" for x in _F.NON_ARTICLE + _F.NON_ARTICLE_V2_EXTRA)}))
   WHERE len(paragraphs) >= 5),
-texted AS (SELECT *, {text_sql('_ps')} AS text FROM parsed WHERE trim({text_sql('_ps')}) <> ''),
+texted AS (SELECT *, {text_sql('_ps')} AS text FROM parsed WHERE {strip_sql(text_sql('_ps'))} <> ''),
 built AS (
   SELECT page_id, url, replace({authority_sql('url')}, 'www.', '') AS source_site,
          split_part({authority_sql('url')}, '.', 1) AS domain, {date_sql('html', 'url')} AS date,

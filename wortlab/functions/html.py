@@ -9,9 +9,13 @@ tag of a block container.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import strip_boundary
+
 # fixed values: patterns of the extraction rules
 DROP_RE = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
 P_OPEN_RE = r"(?i)<p(\s[^>]*)?>"
@@ -21,26 +25,39 @@ P_END_RE = (r"(?is)(</p\s*>|<(address|article|aside|blockquote|div|dl|fieldset|f
 TAG_RE = r"<[^>]*>"
 META_DATE_TAG_RE = r"""(?i)<meta[^>]*property\s*=\s*["']article:published_time["'][^>]*>"""
 OG_TITLE_TAG_RE = r"""(?i)<meta[^>]*property\s*=\s*["']og:title["'][^>]*>"""
-CONTENT_ATTR_RE = r"""(?i)content\s*=\s*["']([^"']*)["']"""
+# the value ends at the quote that opened it
+CONTENT_DOUBLE_RE = r"""(?i)[\s"']content\s*=\s*"([^"]*)\""""
+CONTENT_SINGLE_RE = r"""(?i)[\s"']content\s*=\s*'([^']*)'"""
 JSONLD_RE = r"""(?is)<script[^>]*type\s*=\s*["']application/ld\+json["'][^>]*>(.*?)</script>"""
 TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
 H1_RE = r"(?is)<h1[^>]*>(.*?)</h1>"
 URL_YEAR_RE = r"/(20[0-9]{2})/"
 AUTHORITY_RE = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
-# entity decoding order: '&amp;' last, so '&amp;lt;' is decoded once
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"),
-            ("&nbsp;", " "), ("&amp;", "&")]
+ENTITY_RE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+# code points of the named entities, from the standard library's table
+ENTITY_POINTS = {**name2codepoint, "apos": 39}
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _character(entity: Column) -> Column:
+    """The character of an entity name or number; an unknown one stays as it is written."""
+    names = F.str_to_map(F.lit("|".join(f"{k}:{v}" for k, v in ENTITY_POINTS.items())), F.lit("[|]"), F.lit(":"))
+    point = (F.when(F.lower(entity).startswith("#x"), F.conv(F.substring(entity, 3, 8), 16, 10))
+             .when(entity.startswith("#"), F.substring(entity, 2, 8)).otherwise(F.try_element_at(names, entity))).try_cast("int")
+    valid = (point > 0) & (point <= 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+    return (F.when(point.isNull(), F.concat(F.lit("&"), entity, F.lit(";")))
+            .when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")).otherwise("\ufffd"))
+
+
 def decode_entities(c) -> Column:
-    out = _c(c)
-    for k, v in ENTITIES:
-        out = F.replace(out, F.lit(k), F.lit(v))
-    return out
+    """Named and numeric character references, each decoded once (``&amp;lt;`` gives ``&lt;``)."""
+    text = _c(c)
+    found = F.transform(F.regexp_extract_all(text, F.lit(ENTITY_RE), 1), _character)
+    pieces = F.zip_with(F.split(text, ENTITY_RE), F.concat(found, F.array(F.lit(""))), lambda a, b: F.concat(a, b))
+    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
 
 
 def strip_tags(c) -> Column:
@@ -65,7 +82,7 @@ def paragraph_text(ps) -> Column:
 
 
 def _attr_content(tag: Column) -> Column:
-    return F.regexp_extract(tag, CONTENT_ATTR_RE, 1)
+    return F.coalesce(F.nullif(F.regexp_extract(tag, CONTENT_DOUBLE_RE, 1), F.lit("")), F.regexp_extract(tag, CONTENT_SINGLE_RE, 1))
 
 
 def meta_date(html) -> Column:
@@ -91,16 +108,15 @@ def url_year(url) -> Column:
 
 
 def headline(html) -> Column:
-    """H7 og:title content (non-empty, trimmed), else <title> text, else the
-    first <h1> text, else null.  A present but empty <title> gives ''."""
+    """H7 og:title content (non-empty), else <title> text, else the first <h1>
+    text, else null; decoded and stripped.  A present but empty <title> gives ''."""
     h = _c(html)
     og_tag = F.regexp_extract(h, OG_TITLE_TAG_RE, 0)
-    og = F.nullif(F.trim(_attr_content(og_tag)), F.lit(""))
-    og = F.when(_attr_content(og_tag) != "", F.trim(_attr_content(og_tag)))
+    og = F.when(_attr_content(og_tag) != "", strip_boundary(decode_entities(_attr_content(og_tag))))
     has_title = h.rlike(TITLE_RE)
-    title = F.when(has_title, F.trim(decode_entities(strip_tags(F.regexp_extract(h, TITLE_RE, 1)))))
+    title = F.when(has_title, strip_boundary(decode_entities(strip_tags(F.regexp_extract(h, TITLE_RE, 1)))))
     has_h1 = h.rlike(H1_RE)
-    h1 = F.when(has_h1, F.trim(decode_entities(strip_tags(F.regexp_extract(h, H1_RE, 1)))))
+    h1 = F.when(has_h1, strip_boundary(decode_entities(strip_tags(F.regexp_extract(h, H1_RE, 1)))))
     return F.coalesce(og, title, h1)
 
 

@@ -63,7 +63,7 @@ def prefix_chars(c, n: int = 516) -> Column:
 
 def split_csv_list(c) -> Column:
     """X5 split on ',', trim, drop empty items."""
-    return F.filter(F.transform(F.split(_c(c), ","), lambda x: F.trim(x)), lambda x: x != "")
+    return F.filter(F.transform(F.split(_c(c), ","), strip_boundary), lambda x: x != "")
 
 
 def join_list(c, sep: str = ", ") -> Column:

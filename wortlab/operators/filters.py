@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import contains_any
+from ..functions.text import contains_any, strip_boundary
 
 # fixed values: URL parts that mark non-article pages.  The first list keeps
 # the original entry "/video/," (with its stray comma, so video pages pass);
@@ -44,7 +44,7 @@ def filter_min_paragraphs(df: DataFrame, count_col: str = "paragraphs", minimum:
 
 def filter_non_empty_text(df: DataFrame, text_col: str = "text") -> DataFrame:
     """F4 keep rows whose stripped text is not empty."""
-    return df.where(F.trim(F.col(text_col)) != "")
+    return df.where(strip_boundary(text_col) != "")
 
 
 def filter_content_type(df: DataFrame, col: str = "content_type", wanted: str = "text/html") -> DataFrame:

@@ -14,11 +14,10 @@ from ..operators import filters as FL
 ARTICLE_V2_COLUMNS = ["url", "source_site", "domain", "date", "year", "text", "headline", "word_count", "paragraphs"]
 
 
-def parse_pages(pages: DataFrame, url_prefix: str | None = None, min_paragraphs: int = 5,
+def parse_pages(pages: DataFrame, url_prefix: str = "http", min_paragraphs: int = 5,
                 keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
-    df = pages
-    if url_prefix is not None:
-        df = FL.filter_article_urls_prefix(df, url_prefix)          # F2 before any parsing
+    """``url_prefix`` is the site of the crawl; media, video and live pages never are articles."""
+    df = FL.filter_article_urls_prefix(pages, url_prefix)            # F2 before any parsing
     if "content_type" in df.columns:
         df = FL.filter_content_type(df)                              # F5
     # Derived fields are produced by generators (one row per page): each is

@@ -66,6 +66,13 @@ def documents_with_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_columns(documents_base(spark, sf_dir), spark, sf_dir)
 
 
+# fixed values: what the parser meets on German pages - an apostrophe in a
+# quoted title, entities of every kind, white space around a title
+OG_TITLE = """<meta property="og:title" content=" So geht's &amp; mehr: M&uuml;nchen ">"""
+TITLE_START = "<title>\n  "
+ARTICLE_START = "<article><p>M&uuml;nchen &#252;ber &ndash; Stra&szlig;e&nbsp;1 &#x2014; &amp;lt; &unbekannt; &euro;</p>"
+
+
 def decorated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with the metadata the parser looks for (FIXTURES.md section 4).
 
@@ -80,15 +87,16 @@ def decorated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    y, F.lit('-05-03T08:00:00">'))).otherwise(F.lit(""))
     ld = F.when(k == 1, F.concat(F.lit('<script type="application/ld+json">{"datePublished":"'),
                                  y, F.lit('-06-01T00:00:00"}</script>'))).otherwise(F.lit(""))
-    og = F.when(F.col("page_id") % 5 == 0,
-                F.lit('<meta property="og:title" content=" OG headline ">')).otherwise(F.lit(""))
+    og = F.when(F.col("page_id") % 5 == 0, F.lit(OG_TITLE)).otherwise(F.lit(""))
     head = F.concat(F.lit("<head>"), meta, ld, og)
     url = F.when(k == 2, F.concat(F.lit("https://www.example.com/"), y, F.lit("/a"),
                                   F.col("page_id").cast("string"), F.lit(".html"))).otherwise(F.col("url"))
+    url = F.when(F.col("page_id") % 11 == 3, F.concat(url, F.lit("/bilder/1.jpg"))).otherwise(url)
     ctype = F.when(F.col("page_id") % 10 == 7, F.lit("application/pdf")) \
              .otherwise(F.lit("text/html; charset=utf-8"))
     return p.select("page_id", url.alias("url"), ctype.alias("content_type"),
-                    F.replace(F.col("html"), F.lit("<head>"), head).alias("html"))
+                    F.replace(F.replace(F.replace(F.col("html"), F.lit("<head>"), head), F.lit("<title>"), F.lit(TITLE_START)),
+                              F.lit("<article>"), F.lit(ARTICLE_START)).alias("html"))
 
 
 SITEMAP_URLS = 50      # URLs per sitemap (the protocol allows 50,000; kept small here)
