@@ -261,12 +261,6 @@ def ci_band_outline(spark, sf_dir):
     return finish(S.ci_band_outline(finish(ci), "year"))
 
 
-@query("year_sequence", f"SELECT CAST(range AS INTEGER) AS year FROM range({FORECAST_YEARS[0]}, {FORECAST_YEARS[1]})")
-def year_sequence(spark, sf_dir):
-    """S13 integer range 2016..2027 as rows (input of the forecast)."""
-    return spark.range(*FORECAST_YEARS).select(F.col("id").cast("int").alias("year"))
-
-
 # ------------------------------------------------------------------ words
 
 _LISTS = "lists AS (SELECT article_id, list(word ORDER BY pos) AS lw FROM loantok GROUP BY article_id)"
@@ -274,8 +268,17 @@ _LISTS = "lists AS (SELECT article_id, list(word ORDER BY pos) AS lw FROM loanto
 
 @query("word_frequency", with_articles("SELECT word, count(*) AS frequency FROM loantok GROUP BY word"))
 def word_frequency(spark, sf_dir):
-    """A22 global frequency of all loanwords."""
-    return L.word_frequency(loanword_articles(spark, sf_dir, with_lists=True), "loanwords", "word")
+    """A22 global frequency of all loanwords: candidate words are counted
+    before the vocabulary join (as in ``top_k_words``)."""
+    return _loanword_counts(spark, sf_dir)
+
+
+def _loanword_counts(spark, sf_dir):
+    from ..plans.articles import TARGET_LANG, english_lexicon
+    from ..sources.tables import documents_base
+    arts = documents_base(spark, sf_dir).where(F.col("lang") == TARGET_LANG).select("article_id", "text")
+    counts = L.tokenize_words(arts).groupBy("word").agg(F.count(F.lit(1)).alias("frequency"))
+    return L.detect_loanwords(counts, english_lexicon(spark, sf_dir))
 
 
 @query("top_k_words", with_articles("""
@@ -288,11 +291,7 @@ def top_k_words(spark, sf_dir):
     per word first (partial counts: only distinct words per map task are
     shuffled, a hot word is one row per task), then the vocabulary semi join
     keeps the loanwords, on data already partitioned by the word."""
-    from ..plans.articles import TARGET_LANG, english_lexicon
-    from ..sources.tables import documents_base
-    arts = documents_base(spark, sf_dir).where(F.col("lang") == TARGET_LANG).select("article_id", "text")
-    counts = L.tokenize_words(arts).groupBy("word").agg(F.count(F.lit(1)).alias("frequency"))
-    wf = L.detect_loanwords(counts, english_lexicon(spark, sf_dir))
+    wf = _loanword_counts(spark, sf_dir)
     return wf.orderBy(F.col("frequency").desc(), "word").limit(20)
 
 
@@ -329,7 +328,7 @@ def head(spark, sf_dir):
 # ------------------------------------------------------------------ joins, sorts, exports
 
 @query("join_forecast_actuals", with_articles(f""", {_YEARLY}, {_FIT}
-SELECT CAST(y AS INTEGER) AS year, yearly.m IS NULL AS future
+SELECT CAST(y AS INTEGER) AS year, {r('intercept + slope * y', 'forecast')}, {r('yearly.m', 'actual')}
 FROM range({FORECAST_YEARS[0]}, {FORECAST_YEARS[1]}) t(y) CROSS JOIN fit
 LEFT JOIN (SELECT * FROM yearly WHERE year BETWEEN {FIT_YEARS[0]} AND {FIT_YEARS[1]}) yearly ON yearly.year = t.y""")
        .replace(")\n, yearly", "),\nyearly"))
@@ -339,7 +338,7 @@ def join_forecast_actuals(spark, sf_dir):
     yearly, fit = _fit(spark, sf_dir)
     fc = S.linear_forecast(fit, *FORECAST_YEARS, x="year", out="forecast")
     j = fc.join(yearly.where(F.col("year").between(*FIT_YEARS)), "year", "left")
-    return j.select("year", F.col("m").isNull().alias("future"))
+    return finish(j.select("year", "forecast", F.col("m").alias("actual")))
 
 
 @query("bin_lookup", """WITH eg AS (SELECT [0.0, 50.0, 100.0, 200.0, 400.0, 500.0] AS e)
@@ -388,26 +387,41 @@ def broadcast_scalar(spark, sf_dir):
                     .select("l_orderkey", "l_linenumber", (F.col("l_extendedprice") - F.col("m")).alias("centered")))
 
 
-@query("chart_exports", with_articles(f""",
-yearly AS (SELECT year FROM articles WHERE year IS NOT NULL GROUP BY year),
-topics AS (SELECT topic FROM articles WHERE topic IS NOT NULL GROUP BY topic),
-sents AS (SELECT sentiment FROM articles WHERE sentiment IS NOT NULL GROUP BY sentiment),
-words AS (SELECT word FROM loantok GROUP BY word)
-SELECT 'loanword_density_by_year' AS chart, (SELECT count(*) FROM yearly) AS rows
-UNION ALL SELECT 'loanword_density_confidence', (SELECT count(*) FROM yearly)
-UNION ALL SELECT 'loanword_density_histogram', 10
-UNION ALL SELECT 'loanword_density_histogram_20', 20
-UNION ALL SELECT 'loanword_density_histogram_bins10', 10
-UNION ALL SELECT 'loanword_density_by_sentiment', (SELECT count(*) FROM sents)
-UNION ALL SELECT 'loanword_density_by_topic', (SELECT count(*) FROM topics)
-UNION ALL SELECT 'sentiment_pivot', (SELECT count(*) FROM yearly)
-UNION ALL SELECT 'top_loanwords', least(20, (SELECT count(*) FROM words))
-UNION ALL SELECT 'forecast', {FORECAST_YEARS[1] - FORECAST_YEARS[0]}""").replace(")\n,\nyearly", "),\nyearly"))
+def _cell(expr: str) -> str:
+    return f"coalesce(printf('%.6f', CAST({expr} AS DOUBLE)), '')"
+
+
+def _chart(name: str, cells: list[str], source: str) -> str:
+    return f"SELECT '{name}' AS chart, {' || chr(124) || '.join(cells)} AS row FROM {source}"
+
+
+_SEM = "stddev_samp(loanword_density) / sqrt(count(loanword_density))"
+_MEAN = _cell("avg(loanword_density)")
+_HIST = "(SELECT printf('%.4f - %.4f', lo, hi) AS label, count AS n FROM (WITH {}))"
+_CHARTS = [
+    _chart("loanword_density_by_year", ["year", _cell("m")], "yearly"),
+    "SELECT 'loanword_density_confidence' AS chart, year || '|' || " + " || '|' || ".join([
+        _MEAN, "count(loanword_density)", _cell("stddev_samp(loanword_density)"), _cell(_SEM), _cell(f"avg(loanword_density) - 1.96 * {_SEM}"),
+        _cell(f"avg(loanword_density) + 1.96 * {_SEM}")]) + " AS row FROM articles WHERE year IS NOT NULL GROUP BY year",
+    _chart("loanword_density_histogram", ["label", "n"], _HIST.format(_hist_sql("articles", "loanword_density", 10))),
+    _chart("loanword_density_histogram_20", ["label", "n"], _HIST.format(_hist_sql("articles", "loanword_density", 20))),
+    _chart("loanword_density_histogram_bins10", ["label", "count"], f"({_edge_hist_sql()})"),
+    *[f"SELECT 'loanword_density_by_{k}' AS chart, {k} || '|' || {_MEAN} AS row FROM articles WHERE {k} IS NOT NULL GROUP BY {k}" for k in ("sentiment", "topic")],
+    "SELECT 'sentiment_pivot' AS chart, year || '|' || " + " || '|' || ".join(
+        _cell(f"avg(loanword_density) FILTER (WHERE sentiment = '{k}')") for k in ("negative", "neutral", "positive"))
+    + " AS row FROM articles WHERE year IS NOT NULL GROUP BY year",
+    _chart("top_loanwords", ["word", "n"], "(SELECT word, count(*) AS n FROM loantok GROUP BY word ORDER BY n DESC, word LIMIT 20)"),
+    _chart("forecast", ["y", _cell("intercept + slope * y"), _cell("m")],
+           f"range({FORECAST_YEARS[0]}, {FORECAST_YEARS[1]}) t(y) CROSS JOIN fit LEFT JOIN (SELECT * FROM yearly WHERE year BETWEEN {FIT_YEARS[0]} AND {FIT_YEARS[1]}) a ON a.year = t.y"),
+]
+
+
+@query("chart_exports", with_articles(f""", {_YEARLY}, {_FIT}
+""" + "\nUNION ALL ".join(_CHARTS)).replace(")\n, yearly", "),\nyearly"))
 def chart_exports(spark, sf_dir):
     """C6 every chart CSV of the notebook from one checkpointed article
-    table -> (chart, rows written)."""
+    table -> (chart, row), all rows of all files read back."""
     from ..plans.crawl import fresh_dir
     from ..plans.exports import chart_exports as run
     from ..session import ensure_checkpoint_dir
-    out = fresh_dir(ensure_checkpoint_dir(spark), "charts")
-    return run(spark, sf_dir, out).select("chart", F.col("rows").cast("bigint").alias("rows"))
+    return run(spark, sf_dir, fresh_dir(ensure_checkpoint_dir(spark), "charts"))

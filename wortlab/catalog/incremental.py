@@ -164,10 +164,10 @@ def merge_progress(spark, sf_dir):
     return I.merge_progress(old, new)
 
 
-@query("add_row_id", """SELECT doc_id AS article_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM documents""")
+@query("add_row_id", """SELECT doc_id AS article_id, source AS topic, n_chars, row_number() OVER (ORDER BY doc_id) - 1 AS row_id FROM documents""")
 def add_row_id(spark, sf_dir):
     """W1 dense 0-based ids in id order, without a one-task window."""
-    docs = documents_base(spark, sf_dir).select("article_id")
+    docs = load(spark, sf_dir, "documents").select(F.col("doc_id").alias("article_id"), F.col("source").alias("topic"), "n_chars")
     return row_ids(docs, ["article_id"], "row_id")
 
 

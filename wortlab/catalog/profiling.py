@@ -10,9 +10,9 @@ from ..sources.tables import documents_with_labels, load
 from . import finish, query
 from .sqlparts import r
 
-_PROFILE_COLS = ["article_id", "year", "topic", "lang", "quality", "toxic", "sentiment"]
+_PROFILE_COLS = ["article_id", "year", "topic", "lang", "text", "quality", "toxic", "sentiment"]
 _PROFILE_SQL = """prof AS (
-  SELECT d.doc_id AS article_id, CAST(2011 + d.doc_id % 15 AS INTEGER) AS year, d.source AS topic, d.lang,
+  SELECT d.doc_id AS article_id, CAST(2011 + d.doc_id % 15 AS INTEGER) AS year, d.source AS topic, d.lang, d.text,
          l.quality, l.toxic,
          CASE WHEN l.toxic = 1 THEN 'negative' WHEN l.quality = 1 THEN 'positive'
               WHEN l.toxic IS NOT NULL THEN 'neutral' END AS sentiment
@@ -58,19 +58,16 @@ def null_percentage(spark, sf_dir):
     return finish(PR.null_percentage(_profile(spark, sf_dir)))
 
 
-@query("drop_sparse_columns", _PCT_SQL + f" SELECT \"column\", {r('null_pct', 'null_pct')} FROM pct WHERE null_pct < 50")
+@query("drop_sparse_columns", f"WITH {_PROFILE_SQL}, m AS (SELECT * EXCLUDE (quality, toxic, sentiment) FROM prof) SELECT article_id, year, topic, lang, text FROM m")
 def drop_sparse_columns(spark, sf_dir):
-    """P4 columns kept under a 50 % null threshold (as (column, null_pct));
-    ``profile.drop_sparse_columns`` returns the narrowed table itself."""
-    pct = PR.null_percentage(_profile(spark, sf_dir))
-    return finish(pct.where(F.col("null_pct") < 50))
+    """P4 the table without the columns that have 50 % nulls or more (the labels cover less than half of the rows)."""
+    return PR.drop_sparse_columns(_profile(spark, sf_dir), 50)
 
 
-@query("null_flags", f"WITH {_PROFILE_SQL} SELECT article_id, quality IS NULL AS quality, sentiment IS NULL AS sentiment FROM prof")
+@query("null_flags", f"WITH {_PROFILE_SQL} SELECT " + ", ".join(f"{c} IS NULL AS {c}" for c in _PROFILE_COLS) + " FROM prof")
 def null_flags(spark, sf_dir):
-    """P5 null test per cell."""
-    p = _profile(spark, sf_dir)
-    return p.select("article_id", PR.is_missing(p, "quality").alias("quality"), PR.is_missing(p, "sentiment").alias("sentiment"))
+    """P5 null test of every cell."""
+    return PR.null_flags(_profile(spark, sf_dir))
 
 
 @query("fill_mean", f"""WITH {_LI_SQL}

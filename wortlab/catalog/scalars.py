@@ -26,16 +26,16 @@ def _doc(name, doc, spark_expr, sql_expr, table="documents", key="doc_id"):
 _doc("word_count", "X1 whitespace token count", lambda: X.word_count("text"), f"CAST({words_sql('text')} AS INTEGER)")
 _doc("lower_trim", "X2 strip + lower", lambda: X.lower_trim(F.concat(F.lit("  "), F.upper("source"), F.lit("\n"))),
      "lower(" + _STRIP_SQL.format(e="'  ' || upper(source) || chr(10)") + ")")
-_doc("capitalize", "X3 first letter upper, rest lower", lambda: X.capitalize(F.substring("text", 1, 12)),
-     "upper(left(left(text, 12), 1)) || lower(substring(left(text, 12), 2))")
+_doc("capitalize", "X3 first letter upper, rest lower", lambda: F.sha2(X.capitalize("text"), 256),
+     "sha256(upper(left(text, 1)) || lower(substring(text, 2)))")
 _doc("prefix_chars", "X4 first 516 characters", lambda: X.prefix_chars("text", 516), "left(text, 516)")
 _doc("split_csv_list", "X5 split on ',', trim, drop empty",
      lambda: F.array_join(X.split_csv_list(F.concat(F.lit(" "), F.col("source"), F.lit(", ,"), F.col("lang"), F.lit(" ,"))), "|"),
      "source || '|' || lang")
 _doc("join_list", "X6 ', '.join(list)", lambda: X.join_list(F.array("lang", "source")), "lang || ', ' || source")
-_doc("alpha_word_match", "X7 first token is 4+ ASCII letters",
-     lambda: X.alpha_word_match(F.get(X.whitespace_tokens("text"), 0)),
-     "regexp_matches(list_filter(regexp_split_to_array(text, '[\\t\\n\\x0B\\f\\r\\x1C-\\x1F\\x85\\p{Z}]+'), lambda x: x <> '')[1], '^[A-Za-z]{4,}$')")
+_doc("alpha_word_match", "X7 how many tokens are 4+ ASCII letters",
+     lambda: F.size(F.filter(X.whitespace_tokens("text"), X.alpha_word_match)),
+     "CAST(len(list_filter(regexp_split_to_array(text, '[\\t\\n\\x0B\\f\\r\\x1C-\\x1F\\x85\\p{Z}]+'), lambda x: regexp_matches(x, '^[A-Za-z]{4,}$'))) AS INTEGER)")
 _doc("parse_py_list", "X8 Python list text -> array",
      lambda: F.array_join(X.parse_list(F.concat(F.lit("['"), F.col("lang"), F.lit("', '"), F.col("source"), F.lit("']"))), "|"),
      "lang || '|' || source")
@@ -76,8 +76,8 @@ _doc("contains_any", "X20 any literal occurs", lambda: X.contains_any("text", ["
 _doc("array_distinct_sorted", "X21 list(set(a)) in fixed order",
      lambda: F.array_join(X.array_distinct_sorted(F.array("source", "lang", "source")), "|"),
      "array_to_string(list_sort(list_distinct([source, lang, source])), '|')")
-_doc("array_length", "X22 len(list)", lambda: X.array_length(X.split_csv_list(F.concat_ws(",", "lang", "source"))),
-     "2")
+_doc("array_length", "X22 len(list)", lambda: X.array_length(X.whitespace_tokens("text")),
+     "CAST(len(list_filter(regexp_split_to_array(text, '[\\t\\n\\x0B\\f\\r\\x1C-\\x1F\\x85\\p{Z}]+'), lambda x: x <> '')) AS INTEGER)")
 _doc("strip_boundary", "X24 strip() of tabs, newlines and spaces",
      lambda: X.strip_boundary(F.concat(F.lit("\t "), F.col("source"), F.lit(" \n"))),
      _STRIP_SQL.format(e="chr(9) || ' ' || source || ' ' || chr(10)"))

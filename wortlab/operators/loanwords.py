@@ -87,9 +87,12 @@ def loanword_table(articles: DataFrame, lexicon: DataFrame, id_col: str = "artic
     ordered loanword list (repeats kept), its distinct sorted set and the
     top ``top_n`` words (ties by first occurrence).
 
-    One scan of the text: the candidate words are exploded, flagged by a left
-    join with the vocabulary and folded back per article.  Articles without
-    any loanword keep a row (explode_outer), so their count is 0, not missing.
+    One scan of the text.  The candidate words are exploded and folded per
+    (article, word) at once, before any shuffle, so token occurrences never
+    cross one; the folded rows meet the vocabulary in a left join and only
+    loanwords (and one row per article, the word it begins with) go on to the
+    fold per article.  Articles without any candidate keep a row with a join
+    key of their own, so they are spread and their count is 0, not missing.
     Every other column of ``articles`` is carried through unchanged.
     """
     keep = [c for c in articles.columns if c not in (text_col, id_col)]
@@ -98,31 +101,28 @@ def loanword_table(articles: DataFrame, lexicon: DataFrame, id_col: str = "artic
     per_doc = articles.select(id_col, *keep, word_count(text_col).alias("word_count"),
                               candidate_words(text_col).alias("_cands"))
     base = per_doc.select(id_col, *keep, "word_count", F.explode_outer("_cands").alias("t"))
-    lex = lexicon.select(F.col("word").alias("_w"), F.lit(True).alias("_en"))
-    tok = (base.join(lex, F.col("t.word") == F.col("_w"), "left")
-               .select(id_col, *keep, "word_count", F.col("t.pos").alias("pos"),
-                       F.when(F.col("_en"), F.col("t.word")).alias("loanword")))
+    base = base.select(id_col, *keep, "word_count", F.col("t.pos").alias("pos"), F.col("t.word").alias("word"))
     # per-article columns are part of the key (functionally dependent on the
     # id): plain hash aggregation, no sort-based fallback for string buffers
     keys = [id_col, *keep, "word_count"]
+    places = [F.collect_list("pos").alias("ps")] if with_lists else []
+    folded = base.groupBy(*keys, "word").agg(F.count("pos").alias("n"), F.min("pos").alias("first"), *places)
+    lex = lexicon.select(F.col("word").alias("_w"), F.lit(True).alias("_en"))
+    key = F.coalesce("word", F.concat(F.lit("\u0000"), F.col(id_col).cast("string")))
+    found = (folded.withColumn("_key", key).join(lex, F.col("_key") == F.col("_w"), "left")
+             .where(F.col("_en") | F.col("word").isNull() | (F.col("first") == 0)))
     if not with_lists:
-        out = tok.groupBy(*keys).agg(F.count("loanword").alias("loanword_count"))
+        out = found.groupBy(*keys).agg(F.coalesce(F.sum(F.when(F.col("_en"), F.col("n"))), F.lit(0)).cast("bigint").alias("loanword_count"))
     else:
-        # first fold per (article, word): count, first position, all positions;
-        # then per article: the per-word rows are few, sorting them is cheap.
-        per_word = (tok.groupBy(*keys, "loanword")
-                       .agg(F.count("pos").alias("n"), F.min("pos").alias("first"),
-                            F.collect_list("pos").alias("ps")))
-        entry = F.when(F.col("loanword").isNotNull(),
-                       F.struct(F.col("n"), F.col("first"), F.col("loanword").alias("w"), F.col("ps")))
-        out = per_word.groupBy(*keys).agg(F.collect_list(entry).alias("_e"))
+        # the per-word rows of an article are few, sorting them is cheap
+        entry = F.when(F.col("_en"), F.struct(F.col("n"), F.col("first"), F.col("word").alias("w"), F.col("ps")))
+        out = found.groupBy(*keys).agg(F.collect_list(entry).alias("_e"))
         occ = F.flatten(F.transform(F.col("_e"),
                                     lambda e: F.transform(e["ps"], lambda p: F.struct(p.alias("p"), e["w"].alias("w")))))
-        ranked = F.array_sort(F.col("_e"), lambda a, b: F.when(a["n"] != b["n"], F.when(a["n"] > b["n"], -1).otherwise(1))
-                              .otherwise(F.when(a["first"] < b["first"], -1).when(a["first"] > b["first"], 1).otherwise(0)))
+        ranked = F.sort_array(F.transform(F.col("_e"), lambda e: F.struct((-e["n"]).alias("n"), e["first"].alias("first"), e["w"].alias("w"))))
         out = out.select(id_col, *keep, "word_count",
-                         F.transform(F.array_sort(occ), lambda x: x["w"]).alias("loanwords"),
-                         F.array_sort(F.transform(F.col("_e"), lambda e: e["w"])).alias("all_loanwords"),
+                         F.transform(F.sort_array(occ), lambda x: x["w"]).alias("loanwords"),
+                         F.sort_array(F.transform(F.col("_e"), lambda e: e["w"])).alias("all_loanwords"),
                          F.transform(F.slice(ranked, 1, top_n), lambda e: e["w"]).alias("top_loanwords"))
         out = out.withColumn("loanword_count", F.size("loanwords"))
     return out.withColumn("loanword_density",

@@ -5,9 +5,10 @@
 Instead the rows are range partitioned on the order key (Spark samples the
 key to pick balanced bounds), sorted inside each partition, and numbered
 locally with ``monotonically_increasing_id`` (partition index in the high
-bits, position in the low bits).  Per-partition counts - one row per
-partition - give each partition its offset; that small table is broadcast.
-Cost: one shuffle of the key columns, no task ever holds more than its
+bits, position in the low bits) and written once to the checkpoint folder:
+range bounds are sampled, so nothing read twice may be partitioned twice.
+Per-partition counts - one row per partition - give each partition its
+offset; that small table is broadcast.  No task ever holds more than its
 partition.
 """
 
@@ -26,13 +27,8 @@ def row_ids(df: DataFrame, order_cols: list[str | Column], out: str = "row_id",
     spark = df.sparkSession
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     s = (df.repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols)
-           .withColumn("_mid", F.monotonically_increasing_id()))
+           .withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True))
     s = s.withColumn("_pid", F.shiftright(F.col("_mid"), 33)).withColumn("_local", F.col("_mid").bitwiseAND(_LOW_BITS))
-    # Both branches below must see the same partitioning.  Spark reuses the
-    # one range exchange for both (ReusedExchange); if exchange reuse is
-    # switched off, the numbered rows are materialised once instead.
-    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        s = s.checkpoint(eager=True)
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: this window and the broadcast are bounded by the partition count
     offs = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
@@ -46,11 +42,15 @@ def batch_number(row_id: str, batch_size: int) -> Column:
     return F.floor(F.col(row_id) / F.lit(batch_size)).cast("bigint")
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float], accuracy: int | None = None) -> DataFrame:
     """A13 exact quantiles by linear interpolation between order statistics
     (numpy's default), over the non-null values -> one row, one column per
-    name in ``probs``.  Null when the column has no values."""
+    name in ``probs``.  Null when the column has no values.  With ``accuracy``
+    one pass gives approximate ones (a value whose rank is off by at most
+    rows / accuracy)."""
     v = df.select(F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    if accuracy:
+        return v.agg(*[F.percentile_approx("_v", float(p), accuracy).alias(n) for n, p in probs.items()])
     # equal values are interchangeable for order statistics: a tie-breaker
     # lets the range partitioner split a hot value over several tasks
     ranked = row_ids(v.withColumn("_tb", F.monotonically_increasing_id()), ["_v", "_tb"], "_r")

@@ -5,6 +5,7 @@ aggregate written as one CSV with header."""
 
 from __future__ import annotations
 
+import functools
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,15 +50,15 @@ def chart_tables(articles: DataFrame) -> dict[str, DataFrame]:
 
 
 def chart_exports(spark: SparkSession, sf_dir: str, out_dir: str) -> DataFrame:
-    """Write every chart; returns (chart, rows) read back from the files."""
+    """Write every chart; returns (chart, row) read back from the files, a row
+    as its fields in order, numbers rounded to six places."""
     articles = loanword_articles(spark, sf_dir, with_lists=True).checkpoint(eager=True)
     written = []
     for name, df in chart_tables(articles).items():
         path = os.path.join(out_dir, name)
         write_chart_csv(df, path)
-        written.append(spark.read.option("header", "true").csv(path)
-                       .agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("chart"), "rows"))
-    out = written[0]
-    for w in written[1:]:
-        out = out.unionByName(w)
-    return out
+        back = spark.read.option("header", "true").schema(df.schema).csv(path)
+        cells = [F.coalesce(F.format_string("%.6f", F.col(f"`{c}`")) if t in ("double", "float") else F.col(f"`{c}`").cast("string"), F.lit(""))
+                 for c, t in back.dtypes]
+        written.append(back.select(F.lit(name).alias("chart"), F.concat_ws("|", *cells).alias("row")))
+    return functools.reduce(DataFrame.unionByName, written)
