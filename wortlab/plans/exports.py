@@ -58,7 +58,7 @@ def chart_exports(spark: SparkSession, sf_dir: str, out_dir: str) -> DataFrame:
         path = os.path.join(out_dir, name)
         write_chart_csv(df, path)
         back = spark.read.option("header", "true").schema(df.schema).csv(path)
-        cells = [F.coalesce(F.format_string("%.6f", F.col(f"`{c}`")) if t in ("double", "float") else F.col(f"`{c}`").cast("string"), F.lit(""))
+        cells = [F.coalesce(F.when(F.col(f"`{c}`").isNotNull(), F.format_string("%.6f", F.col(f"`{c}`"))) if t in ("double", "float") else F.col(f"`{c}`").cast("string"), F.lit(""))
                  for c, t in back.dtypes]
         written.append(back.select(F.lit(name).alias("chart"), F.concat_ws("|", *cells).alias("row")))
     return functools.reduce(DataFrame.unionByName, written)
