@@ -8,7 +8,7 @@ the reference re-aimed as Spark aggregations over the labelled corpus.
   1..3-grams of ``_word_`` per language; a word is scored by the sum over
   its n-grams and assigned the best language.  Candidate words are ASCII
   letters only, so a profile holds at most 4 x 27^3 grams - a proven bound,
-  which is what makes broadcasting it safe.
+  which is why adaptive execution can broadcast it (no hint forces that).
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ def word_language(tokens: DataFrame, word_col: str = "word", lang_col: str = "la
     aggregations only; the language totals are one row per language."""
     per = tokens.groupBy(word_col, lang_col).agg(F.count(F.lit(1)).alias("_n"))
     tot = per.groupBy(lang_col).agg(F.sum("_n").alias("_tot"))     # from the same per-word shuffle
-    rel = per.join(F.broadcast(tot), lang_col).select(word_col, lang_col, (F.col("_n") / F.col("_tot")).alias("_rel"))
+    rel = per.join(tot, lang_col).select(word_col, lang_col, (F.col("_n") / F.col("_tot")).alias("_rel"))
     # max_by over (rel, -lang order) - ties resolved to the smallest language code
     best = rel.groupBy(word_col).agg(F.max_by(F.col(lang_col), F.struct(F.col("_rel"),
                                                                         _desc_key(F.col(lang_col)))).alias(lang_col))
@@ -69,7 +69,7 @@ def train_ngram_profile(tokens: DataFrame, word_col: str = "word", lang_col: str
     tot = counts.groupBy(lang_col).agg(F.sum("_c").alias("_tot"))
     v = counts.select("gram").distinct().agg(F.count(F.lit(1)).alias("_v"))
     base = tot.crossJoin(F.broadcast(v))                       # one row per language x one row
-    seen = (counts.join(F.broadcast(base), lang_col)           # languages: a handful of rows
+    seen = (counts.join(base, lang_col)
                   .select(lang_col, "gram", F.log((F.col("_c") + 1) / (F.col("_tot") + F.col("_v"))).alias("logp")))
     unseen = base.select(lang_col, F.lit(None).cast("string").alias("gram"),
                          F.log(F.lit(1.0) / (F.col("_tot") + F.col("_v"))).alias("logp"))
@@ -78,14 +78,14 @@ def train_ngram_profile(tokens: DataFrame, word_col: str = "word", lang_col: str
 
 def classify_words(words: DataFrame, profile: DataFrame, word_col: str = "word", lang_col: str = "lang") -> DataFrame:
     """Score distinct words against the n-gram profile -> (word, lang, score).
-    The profile is bounded (see module doc) and broadcast; each word's grams
+    Adaptive execution broadcasts the profile if it measured small; each word's grams
     are crossed with the few languages, unseen grams get the language's
     floor probability."""
     langs = profile.where(F.col("gram").isNull()).select(lang_col, F.col("logp").alias("_floor"))
     wg = words.select(word_col).distinct().select(word_col, F.explode(word_grams(F.col(word_col))).alias("gram"))
     seen = profile.where(F.col("gram").isNotNull())
     scored = (wg.crossJoin(F.broadcast(langs))
-                .join(F.broadcast(seen), [lang_col, "gram"], "left")
+                .join(seen, [lang_col, "gram"], "left")
                 .groupBy(word_col, lang_col).agg(F.sum(F.coalesce(F.col("logp"), F.col("_floor"))).alias("score")))
     best = scored.groupBy(word_col).agg(F.max_by(F.struct(lang_col, "score"),
                                                  F.struct(F.col("score"), _desc_key(F.col(lang_col)))).alias("b"))

@@ -20,6 +20,8 @@ CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true
 
 def read_articles_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """S1 read a CSV with header under an explicit schema (no inference pass).
+    Quoted cells may hold line ends, so Spark cannot split a file: one task
+    reads each file.  Convert a large CSV to Parquet once and work on that.
     Array columns are stored as list text and decoded with ``from_json``."""
     st = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
     flat = StructType([StructField(f.name, StringType(), True) if isinstance(f.dataType, ArrayType) else f
