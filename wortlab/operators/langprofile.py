@@ -7,8 +7,8 @@ the reference re-aimed as Spark aggregations over the labelled corpus.
 * character n-gram profile: add-one smoothed log probabilities of the
   1..3-grams of ``_word_`` per language; a word is scored by the sum over
   its n-grams and assigned the best language.  Candidate words are ASCII
-  letters only, so a profile holds at most 4 x 27^3 grams - a proven bound,
-  which is why adaptive execution can broadcast it (no hint forces that).
+  letters only, so a profile holds at most 27 + 27^2 + 27^3 grams per
+  language; no hint forces a broadcast, adaptive execution measures.
 """
 
 from __future__ import annotations
