@@ -7,6 +7,8 @@ block size plus one document.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 from collections.abc import Iterator
 
@@ -15,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_ready, scratch_path
+from .shared_files import resolve
 
 BLOCK_BYTES = 1 << 20
 U64 = np.uint64
@@ -25,10 +28,28 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+_MADE: list[str] = []
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared checkpoint folder, removed when this program ends."""
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    _MADE.append(path)
+    return path
+
+
+@atexit.register
+def _clear() -> None:
+    for path in _MADE:
+        fs, place = resolve(path)
+        with contextlib.suppress(OSError):  # a folder that was never written
+            fs.delete_dir(place)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared checkpoint folder: computed once, read by any executor, no lineage behind it."""
     spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    path = scratch_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -28,8 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from .common import documents, written
+from .common import documents, scratch_folder, written
 from .shared_files import opened, whole_file
 
 NAME = "op2_warc_transactions"
@@ -186,7 +185,7 @@ def assemble(records: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch_path(spark, f"op2-{uuid.uuid4().hex}")
+    folder = scratch_folder(spark, "op2")
     manifest = write_archives(documents(spark, sf_dir, "pages"), folder)
     field = lambda name: F.nullif(F.col("metadata")[name], F.lit("")).cast("long")
     return assemble(read_records(manifest, with_payload=False)).select(

@@ -17,7 +17,6 @@ Defined results.  A null or empty text has only the end id.  Null ids come first
 from __future__ import annotations
 
 import io
-import uuid
 import zlib
 
 import numpy as np
@@ -26,8 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from .common import documents, written
+from .common import documents, scratch_folder, written
 from .shared_files import opened, whole_file
 from .tokens import encoder
 
@@ -40,14 +38,15 @@ COUNTS = np.array([1, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 BITS = np.array([64, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 MAGIC = b"S8BIDS01"
 U64 = np.uint64
+_POWERS = np.left_shift(U64(1), np.arange(64, dtype=U64))
+_WIDTH = np.searchsorted(_POWERS, np.arange(1 << 16, dtype=U64), "right").astype(np.uint8)  # bits of small values
 
 
 def _selectors(values: np.ndarray) -> np.ndarray:
     """For every place the selector that packs most of the values from there on (values are zero after the end)."""
     n = len(values)
     width = np.zeros(n + 64, np.uint8)
-    width[:n] = (np.frexp(values.astype(np.float64))[1] if not n or values.max() < 1 << 52  # exact below 2^53
-                 else np.searchsorted(np.left_shift(U64(1), np.arange(64, dtype=U64)), values, "right"))
+    width[:n] = _WIDTH[values.view(np.int64)] if not n or values.max() < len(_WIDTH) else np.searchsorted(_POWERS, values, "right")
     best = np.where(width[:n] <= 60, len(COUNTS) - 1, 0).astype(np.uint8)
     span, least = 1, width  # least[i]: bits that the next ``span`` values need
     for s in range(len(COUNTS) - 2, 0, -1):
@@ -55,7 +54,7 @@ def _selectors(values: np.ndarray) -> np.ndarray:
             step = min(span, int(COUNTS[s]) - span)
             least = np.maximum(least[:-step], least[step:])
             span += step
-        best[least[:n] <= BITS[s]] = s
+        np.copyto(best, np.uint8(s), where=least[:n] <= int(BITS[s]))
     return best
 
 
@@ -79,15 +78,17 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         sizes = [int((1 + (s == 0)).sum()) for s in best]
         offsets += (at_word + np.cumsum(sizes) - sizes).tolist()
         select, begin = np.concatenate(best), np.concatenate(begins)
-        end = np.minimum((begin // BLOCK + 1) * BLOCK, len(part))
         place = np.cumsum(1 + (select == 0)) - (1 + (select == 0))
         out = np.zeros(int(sum(sizes)), U64)
-        padded = np.append(part, np.zeros(64, U64))
+        padded = np.zeros((len(best), BLOCK + 64), U64)  # zeros after each block's values
+        for k in range(len(best)):
+            own = part[k * BLOCK:(k + 1) * BLOCK]
+            padded[k, :len(own)] = own
+        flat, at = padded.ravel(), begin + begin // BLOCK * 64
         for s in range(1, len(COUNTS)):
             of = np.flatnonzero(select == s)
             if len(of):
-                take = begin[of][:, None] + np.arange(COUNTS[s])
-                v = np.where(take < end[of][:, None], padded[take], U64(0))
+                v = flat[at[of][:, None] + np.arange(COUNTS[s])]
                 v <<= (np.arange(COUNTS[s]) * BITS[s]).astype(U64)
                 out[place[of]] = np.bitwise_or.reduce(v, axis=1) | U64(s << 60)
         of = np.flatnonzero(select == 0)
@@ -221,5 +222,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = documents(spark, sf_dir)
-    folder = scratch_path(spark, f"op6-{uuid.uuid4().hex}")
+    folder = scratch_folder(spark, "op6")
     return read_token_files(write_token_files(docs, folder, public_tokenizers.path(TOKENIZER), KIND))
