@@ -113,11 +113,11 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def _judged(docs: DataFrame, id_col: str, text_col: str, thresholds=THRESHOLDS, min_words: int = BASE_WORDS,
             max_repeat_percent: int = BASE_REPEAT_PERCENT) -> DataFrame:
-    """``quality_rules`` with a column ``_at``: a filter that names it is not moved below the split into words and lines."""
+    """``quality_rules`` with a column ``_at``: a filter that names it is not moved below the counts, so each is made once."""
     d = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     d = d.select("doc_id", "_text", F.array_remove(F.split("_text", SPACE), "").alias("_words"),
-                 F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_lines"), F.monotonically_increasing_id().alias("_at"))
-    d = d.select("doc_id", "_at", *[c.alias(n) for n, c in metric_columns("_text").items()])
+                 F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_lines"))
+    d = d.select("doc_id", F.monotonically_increasing_id().alias("_at"), *[c.alias(n) for n, c in metric_columns("_text").items()])
     rules = rule_columns(thresholds)
     d = d.withColumns({f"fails_{n}": c for n, c in rules.items()} | {
         "base_failed": (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))})
