@@ -127,7 +127,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _cut(rows: DataFrame, min_words: int) -> DataFrame:
     """Removes the windows listed in ``places`` (array of (start, n)) from ``text``."""
     def make(batches):
-        for batch in batches:
+        for batch in (b.slice(a, 500) for b in batches for a in range(0, b.num_rows, 500)):
             out = {"doc_id": [], "text": [], "n_words": [], "n_removed": [], "spans": []}
             for doc, text, places in zip(batch["doc_id"], batch["text"], batch["places"]):
                 text, spans, removed = text.as_py(), [], 0

@@ -17,7 +17,6 @@ and text columns are read.
 
 from __future__ import annotations
 
-import hashlib
 
 import numpy as np
 import pyarrow as pa
