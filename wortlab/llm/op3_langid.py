@@ -238,10 +238,12 @@ def held_out(id_col: str) -> Column:
 def training_stretches(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int = SAMPLE_ROWS) -> DataFrame:
     """Rows (lang, text): bounded stretches of the sampled training documents."""
     labelled = docs.where(F.col(id_col).isNotNull() & ~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    top = labelled.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MAX_LABELS).select(F.col(lang_col).alias("lang"))
-    ids = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")  # only the first rows of each task are shuffled
-    chosen = ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= rows).join(F.broadcast(top), "lang").select("id", "lang").distinct()
+    top = (labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LABELS))
+    ids = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).join(F.broadcast(top), "lang")
+    # about four times the rows wanted are left of each language, however many it has, before they are ranked
+    near = ids.withColumn("h", F.pmod(F.xxhash64("id"), F.lit(1 << 30))).where(F.col("h") / (1 << 30) < 4.0 * rows / F.col("n"))
+    order = Window.partitionBy("lang").orderBy("h", "id")
+    chosen = near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= rows).select("id", "lang").distinct()
     bounded = F.broadcast(chosen)  # at most rows x MAX_LABELS
     texts = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(bounded, ["id", "lang"])
 
