@@ -24,9 +24,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: of each group of near-duplicates the document with the smallest doc_id stays."""
+    """Operator 8: of each group of near-duplicates one row stays, of the smallest doc_id (null last)."""
     ensure_ready(spark)
-    return keep_one(docs)
+    return keep_one(docs, repeats=False)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -265,3 +265,16 @@ def test_pipeline_stages_on_odd_tables(spark, docs, none):
             df = written(stage(spark, df, SF), name)
         df.count()
     assert df.count() == 0
+
+
+def test_near_duplicates_leave_one_row_of_each_group(spark):
+    texts = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abcdx"}
+    rows = [(1, "a"), (1, "a"),  # a repeated row
+            (3, "b"), (3, "c"), (2, "c"),  # 3 names its first group only
+            (None, "d"), (None, "d"),  # a group of null ids
+            (None, "a"), (4, "x"), (None, "b")]
+    df = spark.createDataFrame([(i, texts[k], "en", "s", len(texts[k])) for i, k in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    want = Counter((i, texts[k]) for i, k in ((1, "a"), (3, "b"), (2, "c"), (None, "d"), (4, "x")))
+    df = written(corpus_pipeline.near_duplicates(spark, df, SF), "one")
+    assert Counter((r.doc_id, r.text) for r in df.collect()) == want
+    assert Counter((r.doc_id, r.text) for r in corpus_pipeline.repeated_passages(spark, df, SF).collect()) == want

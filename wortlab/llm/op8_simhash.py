@@ -141,8 +141,14 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_neardup(documents(spark, sf_dir))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names its component (rows repeated under that id stay together)."""
-    groups = simhash_neardup(docs)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+def keep_one(docs: DataFrame, repeats: bool = True) -> DataFrame:
+    """Of each component the least row, by doc_id (null last) and then by its place; with ``repeats`` also the component's
+    other rows under that doc_id, if it has one."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = written(docs.select(row, F.monotonically_increasing_id().alias("key")), "op8-rows")  # two jobs read the keys
+    name = F.struct(F.col("row.doc_id").isNull().alias("unnamed"), F.col("row.doc_id").alias("id"), "key").alias("name")
+    groups = simhash_neardup(rows.select(name, F.col("row.text").alias("text")), id_col="name")
+    first = F.col("doc_id.key") == F.col("component_id.key")
+    if repeats:
+        first |= F.coalesce(F.col("doc_id.id") == F.col("component_id.id"), F.lit(False))
+    return rows.join(groups.where(first).select("doc_id.key"), "key", "left_semi").select("row.*")
