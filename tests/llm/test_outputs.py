@@ -1,6 +1,7 @@
 """Chat formatting, WARC, language identification, packing, token files and the pipeline."""
 
 import itertools
+import random
 import zlib
 from collections import Counter
 
@@ -13,7 +14,7 @@ from hypothesis import strategies as st
 import corpus_pipeline
 from wortlab.llm import op1_chat, op2_warc, op3_langid, op4_quality, op5_packing, op6_simple8b
 from wortlab.llm.common import written
-from wortlab.llm.tokens import Encoder
+from wortlab.llm.tokens import Encoder, encoder
 from wortlab.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
@@ -39,6 +40,38 @@ def test_unit_cache_gives_the_library_s_ids(rows, name, kind):
         assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == [ids(t) for t in texts]
 
 
+SPECIAL = ["a <|endoftext|> b", "a  <|endoftext|>\n\n<|startoftext|>b", "<|endoftext|>", "x<|endoftext|>y z\n<|endoftext|>\tq", "<|ENDOFTEXT|> <|endoftext|", "don't <|startoftext|> . x"]
+
+
+def plain(name):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path(name))
+    return lambda text: t.encode(text or "", add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("name,kind", [("byte_bpe_50k.json", "spaced"), ("word_bpe_49k.json", "bare")])
+def test_special_tokens_in_texts_are_those_of_the_plain_call(name, kind):
+    r = random.Random(8)
+    mixed = ["".join(r.choice(["<|endoftext|>", "<|startoftext|>", " ", "  ", "\n", "\t", "a", "Is", "'s", ".", "é", "1"]) for _ in range(25)) for _ in range(300)]
+    texts, ids, coder = [*ODD, *SPECIAL, *mixed], plain(name), encoder(public_tokenizers.path(name), kind)
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == [ids(t) for t in texts]
+
+
+def test_special_tokens_in_packing_and_token_files(spark):
+    df = spark.createDataFrame(list(enumerate(SPECIAL)), "doc_id long, text string").repartition(2)
+    want, total = plain(op5_packing.TOKENIZER), Counter()
+    for r in op5_packing.pack(df, public_tokenizers.path(op5_packing.TOKENIZER), op5_packing.KIND).collect():
+        total[r.doc_id] += r.length
+    assert total == Counter({i: len(want(t)) + 1 for i, t in enumerate(SPECIAL)})
+    want = plain(op6_simple8b.TOKENIZER)
+    manifest = op6_simple8b.write_token_files(df, scratch_path(spark, "test-special"), public_tokenizers.path(op6_simple8b.TOKENIZER), op6_simple8b.KIND)
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in op6_simple8b.read_token_files(manifest).collect()}
+    raw = [np.array([*want(t), 2], "<u4").tobytes() for t in SPECIAL]
+    assert got == {i: (len(x) // 4, zlib.crc32(x)) for i, x in enumerate(raw)}
+
+
 # chat
 
 CHAT = [(1, 0, "system", "Be <|kind|>"), (1, 1, "ann", "hi"), (1, 2, "bob", None), (1, 2, "ann", "two"), (1, 3, "ann", "bye"), (1, 3, "ann", "bye"),

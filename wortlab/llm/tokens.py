@@ -42,14 +42,15 @@ def bare_units(text: str) -> list[str]:
 
 
 class Encoder:
-    """``kind``: "spaced" (white space belongs to tokens) or "bare" (the tokenizer drops it)."""
+    """``kind``: "spaced" (white space belongs to tokens) or "bare" (the tokenizer drops it).  ``special_as_text``: the
+    strings of special tokens in a text are ordinary text; else each is its special id, as the library does by itself."""
 
-    def __init__(self, path: str, kind: str):
+    def __init__(self, path: str, kind: str, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
         self.model = self.tokenizer.model
         self.units, self.glue = {"spaced": (spaced_units, False), "bare": (bare_units, True)}[kind]  # glue: white space is dropped
         self.cache: dict[str, bytes] = {}
@@ -114,7 +115,7 @@ class Encoder:
 
 
 def encoder(path: str, kind: str) -> Encoder:
-    """The encoder of this Python worker for a tokenizer file."""
+    """The encoder of this Python worker for a tokenizer file; its ids are those of the library's plain call."""
     if (path, kind) not in _CACHED:
-        _CACHED[path, kind] = Encoder(path, kind)
+        _CACHED[path, kind] = Encoder(path, kind, special_as_text=False)
     return _CACHED[path, kind]
