@@ -153,6 +153,48 @@ def test_license_notices(spark):
     assert 0.9 <= got[4, "MIT"].coverage < 1 and got[4, "MIT"].spans[0].start == 40
 
 
+def licenses(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {i: set() for i in range(len(texts))}
+    for r in op9_license.license_scan(docs).collect():
+        found[r.doc_id].add(r.license)
+    return [found[i] for i in range(len(texts))]
+
+
+def test_every_template_is_its_own_license_only(spark):
+    noise = " ".join(f"word{i}" for i in range(20))
+    got = licenses(spark, [f"{noise} {text} {noise}" for _, text in op9_license.TEMPLATES])
+    assert [(n, t, g) for (n, t), g in zip(op9_license.TEMPLATES, got) if g != {n}] == []
+
+
+def test_sibling_licenses(spark):
+    cc = "This work is licensed under a Creative Commons Attribution{} License."
+    gnu = op9_license._gnu
+    want = [(cc.format("-NonCommercial 4.0 International"), {"CC-BY-NC-4.0"}), (cc.format("-NoDerivatives 4.0 International"), {"CC-BY-ND-4.0"}),
+            (cc.format("-NonCommercial-ShareAlike 4.0 International"), {"CC-BY-NC-SA-4.0"}), (cc.format(" 4.0 International"), {"CC-BY-4.0"}),
+            (cc.format(" 3.0 Unported"), {"CC-BY-3.0"}), (cc.format("-NonCommercial 7.0 International"), set()), (cc.format(" 7.0 International"), set()),
+            ("Licensed under CC BY 4.0.", {"CC-BY-4.0"}), ("Licensed under CC BY-NC 4.0.", {"CC-BY-NC-4.0"}), ("Licensed under CC BY-NC-ND 4.0.", {"CC-BY-NC-ND-4.0"}),
+            ("This work is licensed under the GNU General Public License, version 2.", {"GPL-2.0"}),
+            ("This work is licensed under the GNU General Public License, version 3.", {"GPL-3.0"}),
+            ("This work is licensed under the GNU General Public License, version 9.", set()),
+            ("This work is licensed under the GNU Affero General Public License, version 3.", {"AGPL-3.0"}),
+            ("This work is licensed under the GNU Lesser General Public License, version 2.1.", {"LGPL-2.1"}),
+            ("This work is licensed under the GNU Library General Public License, version 2.", {"LGPL-2.0"}),
+            (gnu("Affero General", "3", " of the License"), {"AGPL-3.0"}), (gnu("Lesser General", "3", " of the License"), {"LGPL-3.0"}),
+            (gnu("Affero General", "7", " of the License"), set()), (gnu("Lesser General", "2.1", " of the License").replace("program", "library"), {"LGPL-2.1"}),
+            (op9_license._BSD + " THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS", {"BSD-2-Clause"}),
+            (f"{op9_license._BSD} {op9_license._ENDORSE.replace('the copyright holder', 'Example Works')}", {"BSD-3-Clause"}),
+            (op9_license._BSD.split(" Redistributions in binary")[0], set()), (op9_license._ISC + " provided", {"0BSD"}),
+            ("Released under the Example MIT Style License.", set()), ("Licensed under the ISC License.", {"ISC"})]
+    assert [(t, w, g) for (t, w), g in zip(want, licenses(spark, [t for t, _ in want])) if g != w] == []
+
+
+def test_alignment_does_not_reach_for_far_words():
+    text = "released x y z released under the mit license".split()
+    assert op9_license.align("released under the mit license".split(), text, 2, 8) == (5, 4, 9)
+    assert op9_license.align("a b c d e f".split(), "a b c d e x x x x f".split(), 0, 8, 0.9) == (5, 0, 5)
+
+
 def test_banded_alignment_is_the_longest_common_subsequence():
     r = random.Random(4)
     for _ in range(100):
