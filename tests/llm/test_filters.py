@@ -189,6 +189,17 @@ def test_sibling_licenses(spark):
     assert [(t, w, g) for (t, w), g in zip(want, licenses(spark, [t for t, _ in want])) if g != w] == []
 
 
+def test_license_notices_on_consecutive_lines(spark):
+    notices = ["Released under the MIT License.", "Licensed under CC BY-NC 4.0.", "Licensed under the Apache License, Version 2.0.", op9_license._gnu("General", "3", " of the License")]
+    docs = spark.createDataFrame([(i, "\n".join([t] * 50)) for i, t in enumerate(notices)] + [(9, "\n".join(notices[:2] * 3))], "doc_id long, text string")
+    got = {(r.doc_id, r.license): [(s.start, s.end) for s in r.spans] for r in op9_license.license_scan(docs).collect()}
+    size = [len(alnum(t)) for t in notices]
+    want = {(i, n): [(k * size[i], (k + 1) * size[i]) for k in range(50)] for i, n in enumerate(("MIT", "CC-BY-NC-4.0", "Apache-2.0", "GPL-3.0"))}
+    both = size[0] + size[1]
+    want |= {(9, "MIT"): [(k * both, k * both + size[0]) for k in range(3)], (9, "CC-BY-NC-4.0"): [(k * both + size[0], (k + 1) * both) for k in range(3)]}
+    assert got == want
+
+
 def test_alignment_does_not_reach_for_far_words():
     text = "released x y z released under the mit license".split()
     assert op9_license.align("released under the mit license".split(), text, 2, 8) == (5, 4, 9)

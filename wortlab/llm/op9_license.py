@@ -3,7 +3,8 @@
 Texts and templates become lower-case words of ASCII letters, digits and bytes of other characters.  Hashes of their
 ``GRAM``-word runs are winnowed (the leftmost least of every ``WINDOW``), so that a shared run of GRAM + WINDOW - 1 words has a common
 fingerprint.  The templates' fingerprints are an inverted index (hash to template and place); a document's fingerprints
-found there vote for a template and a diagonal, and votes of one template near one diagonal are one candidate.  Each
+found there vote for a template and a diagonal, and votes of one template near one diagonal are one candidate; those outside
+the stretch it is aligned with are a candidate again.  Each
 candidate is aligned with its stretch of the document within ``BAND`` words of the diagonal.  Similarity is the matched words
 over the template's words and the other words of the stretch; coverage is the matched share of the template's words.  Candidates
 of similarity ``LEAST_COVERAGE`` at least are reported with their span, unless a word that names a sibling license (``MARKS``)
@@ -19,6 +20,8 @@ templates of fewer than GRAM words have one fingerprint, of all their words.  Re
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -197,25 +200,32 @@ class TemplateIndex:
 
 def scan_text(index: TemplateIndex, hashes: list, votes: list[tuple[int, int, int]], band: int, least: float) -> list[dict]:
     """Matches in one text from its (text word, template, template word) votes."""
-    lines: dict[int, list[int]] = {}
+    lines: dict[int, set[tuple[int, int]]] = {}
     for place, template, j in votes:
-        lines.setdefault(template, []).append(place - j)
+        lines.setdefault(template, set()).add((place - j, place))
     found = []
-    for template, offsets in lines.items():
-        offsets, words = sorted(set(offsets)), index.words[template]
-        last = None
-        for k, o in enumerate(offsets):  # a candidate for each group of near diagonals, its band around their middle
-            if last is not None and o - last < band:
+    for template, own in lines.items():
+        words, text, k, own = index.words[template], hashes, 0, sorted(own)
+        while k < len(own):  # a candidate for each group of near diagonals, its band around their middle
+            o, place = own[k]
+            if text[place] is None:  # inside a stretch aligned before
+                k += 1
                 continue
-            group = [x for x in offsets[k:k + band] if x - o < band]
-            last = o
+            stop = bisect_left(own, (o + band,))
+            group = [d for d, place in own[k:stop] if text[place] is not None]
             middle = (group[0] + group[-1]) // 2
-            near = set(hashes[max(middle - band, 0):max(middle + band + len(words), 0)])
+            near = set(text[max(middle - band, 0):max(middle + band + len(words), 0)])
             if sum(w in near for w in words) < least * len(words):
+                k = stop
+                continue
+            m, a, b = align(words, text, middle, band, least)
+            if not m or m / (len(words) + b - a - m) < least:
+                k = stop
                 continue
-            m, a, b = align(words, hashes, middle, band, least)
-            if m and m / (len(words) + b - a - m) >= least and index.same_license(words, hashes[a:b]):
+            if index.same_license(words, hashes[a:b]):
                 found.append((m, m / len(words), a, b, index.names[template], 3 * m - len(words) - (b - a)))
+            text = text.copy() if text is hashes else text
+            text[a:b] = [None] * (b - a)  # the group's other votes are aligned again, outside this stretch
     kept, taken = [], np.zeros(len(hashes), bool)
     for s in sorted(found, key=lambda s: (-s[5], s[3] - s[2], s[2], s[4])):
         if not taken[s[2]:s[3]].any():
