@@ -174,6 +174,18 @@ def test_code_switched_words():
     assert p.argmax(axis=1).tolist() == [0] * 5 + [1] * 5
 
 
+def test_every_language_is_learned(spark):
+    r, rows = random.Random(4), []
+    for k in range(80):
+        vocab = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)]
+        rows += [(100 * k + i, " ".join(r.choice(vocab) for _ in range(30)), f"l{k:02d}") for i in range(8 if k < 70 else 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    trained = {lang for i, _, lang in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    got = {x.doc_id: (x.lang_pred, len(x.shares)) for x in op3_langid.language_id(df).collect()}
+    assert len(trained) == 80 and {n for _, n in got.values()} == {80}
+    assert sum(got[i][0] == lang for i, _, lang in rows) >= 0.9 * len(rows) and {p for p, _ in got.values()} == trained
+
+
 def test_language_edges(crowded, none, spark):
     got = {r.doc_id: r for r in op3_langid.language_id(crowded).collect()}
     assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (0, 1, 2, 16)) and got[7].lang_pred in ("en", "de")

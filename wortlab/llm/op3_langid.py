@@ -7,10 +7,11 @@ Forward-backward over the whole text gives each word's label probabilities; thei
 language, and is the score.
 
 Fitting.  Per language up to ``SAMPLE_ROWS`` labelled training documents (those with the least hash of their id) give up to
-``SEGMENTS`` stretches of ``LENGTH`` words each, from places spread over the whole text; at most ``MAX_LABELS`` languages,
-the most frequent first.  These bounds bound what reaches the driver.  Code-switched chains are put together from stretches
+``SEGMENTS`` stretches of ``LENGTH`` words each, from places spread over the whole text.  Every language is learned.  Above
+``FULL_LABELS`` of them the rows of each and the buckets go down in proportion (``LEAST_ROWS`` and ``LEAST_BUCKETS`` at least), chains go
+up, and fitting and prediction take smaller slices, so that memory stays near what it is at ``FULL_LABELS``.  Code-switched chains are put together from stretches
 of different languages, so that transitions are learned; weights come from full-batch AdaGrad on the conditional
-log-likelihood.  The model (some MB, fixed by ``BUCKETS`` and ``MAX_LABELS``) is broadcast.  Prediction reads nothing but the text.
+log-likelihood.  The model (some MB; ``sizes``) is broadcast.  Prediction reads nothing but the text.
 
 Forward-backward is exact and does not walk a long text word by word: texts are cut in stretches of ``STEP`` words, whose
 transfer matrices are made side by side, chained, and then used to fill in all stretches side by side.
@@ -30,15 +31,26 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, Words, blocks, documents, mix
+from .common import BLOCK_BYTES, U64, Words, blocks, documents, mix, written
 
 NAME = "op3_language_crf"
 SQL = None  # a trained model; tests check held-out accuracy and forward-backward against brute force
-SAMPLE_ROWS, SEGMENTS, LENGTH, MAX_LABELS = 400, 3, 48, 64
+SAMPLE_ROWS, SEGMENTS, LENGTH, FULL_LABELS = 400, 3, 48, 64
 BUCKETS, STEP, CHAINS, ROUNDS, SEED = 1 << 17, 64, 1500, 40, 11
 LEXICON_COUNT, LEXICON_SHARE = 4, 0.6
+LEAST_ROWS, LEAST_BUCKETS, CHAINS_EACH = 25, 1 << 12, 12
 UNKNOWN = "und"
 
+
+def sizes(labels: int) -> tuple[int, int]:
+    """(buckets, words of a stretch of forward-backward) for this many labels: what is held goes with buckets x labels and
+    with labels^2 for each stretch."""
+    buckets = BUCKETS
+    while buckets > LEAST_BUCKETS and buckets * labels > BUCKETS * FULL_LABELS:
+        buckets //= 2
+    return buckets, STEP * max(1, -(-labels * labels // FULL_LABELS ** 2))
+
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _OTHER = np.ones(256, bool)
@@ -49,7 +61,7 @@ def words_of(data: np.ndarray, off: np.ndarray) -> Words:
     return Words(_LOWER[data], off, _OTHER)
 
 
-def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
+def features(words: Words, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
     """(word, bucket) of every affix and trigram feature."""
     data, n = words.data.astype(np.int64), words.n
     length = words.end - words.start
@@ -64,7 +76,7 @@ def features(words: Words) -> tuple[np.ndarray, np.ndarray]:
             code = data[begin] << 8 | data[begin + 1]
             found.append((w, (code << 8 | data[begin + 2] if k == 3 else code) | salt << 24))
     code = np.concatenate([f[1] for f in found]).astype(U64)
-    return np.concatenate([f[0] for f in found]) if n else np.zeros(0, np.int64), (mix(code) & U64(BUCKETS - 1)).astype(np.int64)
+    return np.concatenate([f[0] for f in found]) if n else np.zeros(0, np.int64), (mix(code) & U64(buckets - 1)).astype(np.int64)
 
 
 @dataclass
@@ -86,7 +98,7 @@ class Model:
         return out
 
     def emissions(self, words: Words) -> np.ndarray:
-        word, bucket = features(words)
+        word, bucket = features(words, len(self.weights))
         out = self.in_lexicon(words.hashes()) @ self.lexical
         for label in range(len(self.labels)):
             out[:, label] += np.bincount(word, self.weights[:, label][bucket], words.n)
@@ -174,18 +186,25 @@ def fit(stretches: list[tuple[str, str]], seed: int = SEED, chains: int = CHAINS
     labels = sorted({lang for lang, _ in stretches})
     if not labels or not words.n:
         return None
-    label = np.array([labels.index(lang) for lang, _ in stretches])
+    number = {lang: k for k, lang in enumerate(labels)}
+    label = np.array([number[lang] for lang, _ in stretches])
+    buckets, _ = sizes(len(labels))
+    chains = max(chains, CHAINS_EACH * len(labels))
     hashes, of = words.hashes(), label[words.doc()]
     found, place = np.unique(hashes, return_inverse=True)
-    count = np.zeros((len(found), len(labels)))
-    np.add.at(count, (place, of), 1)
-    member = (count >= LEXICON_COUNT) & (count >= LEXICON_SHARE * count.sum(axis=1, keepdims=True))
-    known = member.any(axis=1)
-    model = Model(labels, np.zeros((BUCKETS, len(labels))), found[known], member[known].astype(float), np.zeros((len(labels),) * 2),
+    cells, count = np.unique(place * len(labels) + of, return_counts=True)  # (word, label) pairs that occur
+    of_cell = cells // len(labels)
+    member = (count >= LEXICON_COUNT) & (count >= LEXICON_SHARE * np.bincount(of_cell, count, len(found))[of_cell])
+    known = np.unique(of_cell[member])
+    lexicon = np.zeros((len(known), len(labels)))
+    lexicon[np.searchsorted(known, of_cell[member]), cells[member] % len(labels)] = 1
+    model = Model(labels, np.zeros((buckets, len(labels))), found[known], lexicon, np.zeros((len(labels),) * 2),
                   np.zeros(len(labels)), np.zeros((len(labels),) * 2))
     # chains of LENGTH words from one to three stretches, of any languages
     rng = np.random.default_rng(seed)
-    usable = [np.flatnonzero((label == k) & (np.diff(words.first) > 0)) for k in range(len(labels))]
+    by_label = np.argsort(label, kind="stable")
+    by_label = by_label[np.diff(words.first)[by_label] > 0]
+    usable = np.split(by_label, np.searchsorted(label[by_label], np.arange(1, len(labels))))
     languages = [k for k in range(len(labels)) if len(usable[k])]
     rows = []
     for _ in range(chains):
@@ -199,32 +218,41 @@ def fit(stretches: list[tuple[str, str]], seed: int = SEED, chains: int = CHAINS
         rows.append(np.concatenate(row))
     chain = np.array(rows)
     truth = of[chain]
-    word, bucket = features(words)
+    word, bucket = features(words, buckets)
     used, compact = np.unique(bucket, return_inverse=True)
     begin = np.searchsorted(np.sort(word, kind="stable"), np.arange(words.n + 1))
     compact = compact[np.argsort(word, kind="stable")]
-    flat = chain.ravel()
-    size = np.diff(begin)[flat]
-    cell = np.repeat(np.arange(len(flat)), size)
-    feature = compact[np.arange(int(size.sum())) + np.repeat(begin[flat] - np.cumsum(size) + size, size)]
-    lex = model.in_lexicon(hashes[flat])
     weight = np.zeros((len(used), len(labels)))
     params = [weight, model.lexical, model.start, model.move]
     squares = [np.full_like(p, 1e-6) for p in params]
-    one = np.zeros((*truth.shape, len(labels)))
-    np.put_along_axis(one, truth[..., None], 1, axis=2)
     pairs = np.zeros_like(model.move)
     np.add.at(pairs, (truth[:, :-1].ravel(), truth[:, 1:].ravel()), 1)
+    slices = []  # of chains: what is held of each goes with the labels
+    for a in range(0, len(chain), max(1, CHAINS * FULL_LABELS // len(labels))):
+        own = slice(a, a + max(1, CHAINS * FULL_LABELS // len(labels)))
+        flat = chain[own].ravel()
+        size = np.diff(begin)[flat]
+        cell = np.repeat(np.arange(len(flat)), size)
+        slices.append((truth[own], flat, cell, compact[np.arange(int(size.sum())) + np.repeat(begin[flat] - np.cumsum(size) + size, size)]))
     for _ in range(rounds):
-        scores = lex @ model.lexical
-        for k in range(len(labels)):
-            scores[:, k] += np.bincount(cell, weight[:, k][feature], len(flat))
-        _, node, pair = _expected(scores.reshape(*truth.shape, -1), model.start, model.move)
-        off = (one - node).reshape(len(flat), -1)
-        grads = [np.stack([np.bincount(feature, off[:, k][cell], len(used)) for k in range(len(labels))], axis=1), lex.T @ off,
-                 (one - node)[:, 0].sum(axis=0), pairs - pair]
+        grads = [np.zeros_like(p) for p in params]
+        grads[3] += pairs
+        for own, flat, cell, feature in slices:
+            lex = model.in_lexicon(hashes[flat])
+            scores = lex @ model.lexical
+            for k in range(len(labels)):
+                scores[:, k] += np.bincount(cell, weight[:, k][feature], len(flat))
+            _, node, pair = _expected(scores.reshape(*own.shape, -1), model.start, model.move)
+            off = -node
+            np.put_along_axis(off, own[..., None], 1 + np.take_along_axis(off, own[..., None], axis=2), axis=2)
+            grads[2] += off[:, 0].sum(axis=0)
+            off = off.reshape(len(flat), -1)
+            for k in range(len(labels)):
+                grads[0][:, k] += np.bincount(feature, off[:, k][cell], len(used))
+            grads[1] += lex.T @ off
+            grads[3] -= pair
         for p, g, q in zip(params, grads, squares):
-            g = g / len(rows) - 1e-4 * p
+            g = g / len(chain) - 1e-4 * p
             q += g * g
             p += 0.3 * g / np.sqrt(q)
     model.weights[used] = weight
@@ -238,13 +266,15 @@ def held_out(id_col: str) -> Column:
 def training_stretches(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int = SAMPLE_ROWS) -> DataFrame:
     """Rows (lang, text): bounded stretches of the sampled training documents."""
     labelled = docs.where(F.col(id_col).isNotNull() & ~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    top = (labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LABELS))
+    top = (labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")))
+    top = written(top, "op3-languages")
+    rows = min(rows, max(LEAST_ROWS, rows * FULL_LABELS // max(top.count(), 1)))
     ids = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).join(F.broadcast(top), "lang")
     # about four times the rows wanted are left of each language, however many it has, before they are ranked
     near = ids.withColumn("h", F.pmod(F.xxhash64("id"), F.lit(1 << 30))).where(F.col("h") / (1 << 30) < 4.0 * rows / F.col("n"))
     order = Window.partitionBy("lang").orderBy("h", "id")
     chosen = near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= rows).select("id", "lang").distinct()
-    bounded = F.broadcast(chosen)  # at most rows x MAX_LABELS
+    bounded = F.broadcast(chosen)  # rows for each language
     texts = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(bounded, ["id", "lang"])
 
     def make(batches):
@@ -265,7 +295,7 @@ def training_stretches(docs: DataFrame, id_col: str, text_col: str, lang_col: st
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Per row: doc_id, held_out, lang_pred, score, n_words, shares (mean probability of each label)."""
-    sample = training_stretches(docs, id_col, text_col, lang_col).collect()  # bounded by SAMPLE_ROWS, SEGMENTS, LENGTH, MAX_LABELS
+    sample = training_stretches(docs, id_col, text_col, lang_col).collect()  # bounded by SAMPLE_ROWS, SEGMENTS, LENGTH and the languages
     model = fit(sorted((r.lang, r.text) for r in sample))
     sent = docs.sparkSession.sparkContext.broadcast(model)
     d = docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
@@ -275,7 +305,9 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def make(batches):
         model = sent.value
-        for rows, data, off in blocks(batches, "text"):
+        labels = len(model.labels) if model is not None else 1
+        step = sizes(labels)[1]
+        for rows, data, off in blocks(batches, "text", min(BLOCK_BYTES, BLOCK_BYTES * FULL_LABELS // labels)):
             words = words_of(data, off)
             n = np.diff(words.first)
             ascii_letter = np.concatenate(([0], np.cumsum(_LOWER[data] - 97 < 26)))
@@ -284,7 +316,7 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             lettered = np.array([bool(p) or bool(k) and any(c.isalpha() for c in texts[i].as_py()) for i, (p, k) in enumerate(zip(plain, n))], bool)
             pred, score, shares = [UNKNOWN] * len(n), np.zeros(len(n)), [None] * len(n)
             if model is not None and words.n:
-                p = posteriors(model.emissions(words), words.first, model.start, model.move)
+                p = posteriors(model.emissions(words), words.first, model.start, model.move, step)
                 sums = np.zeros((words.n + 1, p.shape[1]))
                 np.cumsum(p, axis=0, out=sums[1:])
                 mean = (sums[words.first[1:]] - sums[words.first[:-1]]) / np.maximum(n, 1)[:, None]
