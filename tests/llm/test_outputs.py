@@ -186,6 +186,13 @@ def test_every_language_is_learned(spark):
     assert sum(got[i][0] == lang for i, _, lang in rows) >= 0.9 * len(rows) and {p for p, _ in got.values()} == trained
 
 
+def test_repeated_ids_leave_the_sample_whole_and_bounded(spark):
+    rows = [(i, f"word{'abcdefghijklmnopqrstuvwxyz'[i % 26]} number{'xyz'[i // 26]} {'again' if k else 'first'}", "en") for i in range(60) for k in range(50 if i < 30 else 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = [tuple(r.text.split()[:2]) for r in op3_langid.training_stretches(df, "doc_id", "text", "lang", rows=12).collect()]
+    assert len(got) == len(set(got)) == 12
+
+
 def test_language_edges(crowded, none, spark):
     got = {r.doc_id: r for r in op3_langid.language_id(crowded).collect()}
     assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (0, 1, 2, 16)) and got[7].lang_pred in ("en", "de")

@@ -6,7 +6,7 @@ each label whether the word is in that label's lexicon.  Labels of neighbouring
 Forward-backward over the whole text gives each word's label probabilities; their mean over the text names the document's
 language, and is the score.
 
-Fitting.  Per language up to ``SAMPLE_ROWS`` labelled training documents (those with the least hash of their id) give up to
+Fitting.  Per language up to ``SAMPLE_ROWS`` labelled training documents (ids with the least hash; of a repeated one the least text) give up to
 ``SEGMENTS`` stretches of ``LENGTH`` words each, from places spread over the whole text.  Every language is learned.  Above
 ``FULL_LABELS`` of them the rows of each and the buckets go down in proportion (``LEAST_ROWS`` and ``LEAST_BUCKETS`` at least), chains go
 up, and fitting and prediction take smaller slices, so that memory stays near what it is at ``FULL_LABELS``.  Code-switched chains are put together from stretches
@@ -266,16 +266,17 @@ def held_out(id_col: str) -> Column:
 def training_stretches(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int = SAMPLE_ROWS) -> DataFrame:
     """Rows (lang, text): bounded stretches of the sampled training documents."""
     labelled = docs.where(F.col(id_col).isNotNull() & ~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    top = (labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")))
+    top = (labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.approx_count_distinct(id_col).alias("n")))
     top = written(top, "op3-languages")
     rows = min(rows, max(LEAST_ROWS, rows * FULL_LABELS // max(top.count(), 1)))
     ids = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).join(F.broadcast(top), "lang")
-    # about four times the rows wanted are left of each language, however many it has, before they are ranked
-    near = ids.withColumn("h", F.pmod(F.xxhash64("id"), F.lit(1 << 30))).where(F.col("h") / (1 << 30) < 4.0 * rows / F.col("n"))
+    # about four times the ids wanted are left of each language, however many it has, before they are ranked
+    near = ids.withColumn("h", F.pmod(F.xxhash64("id"), F.lit(1 << 30))).where(F.col("h") / (1 << 30) < 4.0 * rows / F.col("n")).distinct()
     order = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= rows).select("id", "lang").distinct()
+    chosen = near.withColumn("r", F.row_number().over(order)).where(F.col("r") <= rows).select("id", "lang")
     bounded = F.broadcast(chosen)  # rows for each language
     texts = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).join(bounded, ["id", "lang"])
+    texts = texts.groupBy("id", "lang").agg(F.min("text").alias("text"))  # one row of each, however many it has
 
     def make(batches):
         for part, data, off in blocks(batches, "text"):
