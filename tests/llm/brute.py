@@ -79,3 +79,49 @@ def contamination(t, items, size=10):
                     found.add(item)
     found = sorted(str(x) for x in found if x is not None)
     return len(w), sum(hit), len(found), hashlib.sha256(",".join(found).encode()).hexdigest()
+
+
+def runs(w, least=6, exponent=4):
+    """(start, length, period) of the runs of a word list, by start and period."""
+    out = []
+    for q in range(1, len(w) // 2 + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            n = j + q - i
+            if n >= max(2 * q, least, exponent * q) and not any(q % p == 0 and all(w[x] == w[x + p] for x in range(i, i + n - p)) for p in range(1, q)):
+                out.append((i, n, q))
+            i = j + 1
+    return sorted(out, key=lambda x: (x[0], x[2]))
+
+
+def aligned(texts, encode_a, bytes_a, encode_b, bytes_b):
+    """Per text (n_a, n_b, n_groups, n_links, n_best, count_sum, groups) from two tokenizers' calls and the bytes of their ids."""
+    found, count = [], {}
+    for t in texts:
+        a, b = (encode_a(" " + t), encode_b(t)) if t else ([], [])
+        joined = b"".join(map(bytes_a, a))
+        if not t or joined != (" " + t).encode() or b"".join(map(bytes_b, b)) != joined:
+            found.append(None)
+            continue
+        spans = []
+        for ids, of in ((a, bytes_a), (b, bytes_b)):
+            at, own = 0, []
+            for i in ids:
+                own.append((at, at + len(of(i)), i))
+                at = own[-1][1]
+            spans.append(own)
+        links = [(x[2], y[2]) for x in spans[0] for y in spans[1] if x[0] < y[1] and y[0] < x[1]]
+        for k in links:
+            count[k] = count.get(k, 0) + 1
+        ends, low, groups = sorted({x[1] for x in spans[0]} & {y[1] for y in spans[1]}), 0, []
+        for e in ends:
+            groups.append("|".join(",".join(str(x[2]) for x in own if low <= x[0] and x[1] <= e) for own in spans))
+            low = e
+        found.append((len(a), len(b), len(ends), links, ";".join(groups)))
+    best = {}
+    for (_, y), c in count.items():
+        best[y] = max(best.get(y, 0), c)
+    return [(0, 0, 0, 0, 0, 0, "") if f is None else (*f[:3], len(f[3]), sum(count[k] == best[k[1]] for k in f[3]), sum(count[k] for k in f[3]), f[4]) for f in found]

@@ -144,7 +144,7 @@ class MergeList:
             keep = np.ones(len(sym), bool)
             keep[here + 1] = False
             place = np.cumsum(keep)[here] - 1  # of the merged symbols among those kept
-            size -= np.bincount(np.searchsorted(first, here, "right") - 1, minlength=len(size))
+            size = np.add.reduceat(keep, first, dtype=np.int64)
             sym, rank = sym[keep], rank[keep]
             if len(place):
                 last = np.zeros(len(sym), bool)
@@ -206,19 +206,70 @@ class MergeList:
         return np.array([s for s in sym if s is not None], np.int32)
 
 
+def _keys(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first 8 bytes, next 8 bytes, length, a hash of these) of strings."""
+    padded = np.concatenate((data, np.zeros(16, np.uint8)))
+    view = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
+    length = end - start
+    low = view[start] & _MASK[np.minimum(length, 8)]
+    high = np.zeros(len(start), np.uint64)
+    more = np.flatnonzero(length > 8)
+    high[more] = view[start[more] + 8] & _MASK[np.minimum(length[more] - 8, 8)]
+    key = (low ^ (low >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + (high ^ (high >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return low, high, length, (key ^ (key >> np.uint64(32))) + length.astype(np.uint64) * np.uint64(0x165667B19E3779F9)
+
+
+class Merged:
+    """Merges strings through a cache of fixed size: each string of up to 16 bytes has one slot, by its hash; a new one takes it."""
+
+    def __init__(self, merges: MergeList, slot_bits: int = 19, room: int = 1 << 22):
+        self.merges, self.shift = merges, np.uint64(64 - slot_bits)
+        self.low, self.high = np.zeros((2, 1 << slot_bits), np.uint64)
+        self.length, self.count, self.first = np.zeros((3, 1 << slot_bits), np.int32)
+        self.ids, self.used = np.zeros(room, np.int32), 0
+
+    def encode(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(token ids of all strings one after another, number of tokens of each)."""
+        low, high, length, key = _keys(data, start, end)
+        slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+        hit = (self.low[slot] == low) & (self.length[slot] == length) & (self.high[slot] == high)
+        hit &= length <= 16
+        miss = np.flatnonzero(~hit)
+        first, count = self.first[slot], self.count[slot]
+        if len(miss):
+            places, number = distinct(data, start[miss], end[miss])
+            places = miss[places]
+            ids, size = self.merges.encode_many(data, start[places], end[places])
+            base, store = self.used, self.ids
+            if base + len(ids) > len(store):  # full: this block reads from a copy, and the cache begins anew
+                store = np.concatenate((store[:base], ids))
+                self.length[:] = 0
+                self.used = 0
+            else:
+                store[base:base + len(ids)] = ids
+                self.used += len(ids)
+            at = base + np.cumsum(size) - size
+            first[miss], count[miss] = at[number], size[number]
+            if store is self.ids:
+                short = length[places] <= 16
+                own, at, size = places[short], at[short], size[short]
+                to = slot[own]
+                self.low[to], self.high[to], self.length[to], self.first[to], self.count[to] = low[own], high[own], length[own], at, size
+                # of several new strings with one slot numpy writes one, the same in all five
+        else:
+            store = self.ids
+        stop = np.cumsum(count, dtype=np.int64)
+        total = int(stop[-1]) if len(stop) else 0
+        return store[np.arange(total) + np.repeat(first - stop + count, count)], count.astype(np.int64)
+
+
 def distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(a place in ``start`` for each distinct string data[start:end], the number of each string's own distinct one).
 
     Strings of up to 16 bytes are compared whole, as two integers and a length, after sorting by a hash of these; longer
     ones go through a dictionary.  No two different strings are taken for one.
     """
-    padded = np.concatenate((data, np.zeros(16, np.uint8)))
-    view = np.ndarray(len(padded) - 7, "<u8", padded, strides=(1,))
-    length = end - start
-    low = view[start] & _MASK[np.minimum(length, 8)]
-    high = view[np.minimum(start + 8, len(view) - 1)] & _MASK[np.clip(length - 8, 0, 8)]
-    key = (low ^ (low >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + (high ^ (high >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
-    key = (key ^ (key >> np.uint64(32))) + length.astype(np.uint64) * np.uint64(0x165667B19E3779F9)
+    low, high, length, key = _keys(data, start, end)
     number = np.zeros(len(start), np.int64)
     short = np.flatnonzero(length <= 16)
     order = short[np.argsort(key[short])]

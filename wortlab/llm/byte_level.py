@@ -1,9 +1,10 @@
-"""Byte-level BPE of blocks of texts in numpy: pre-tokens from character classes, each distinct one merged once a block.
+"""Byte-level BPE of blocks of texts in numpy: pre-tokens from character classes, merged through a cache.
 
 The pre-tokens are those of ``'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``: runs of one class (letter,
 number, other, white space), where the last blank of white space joins the run after it and an apostrophe alone takes its
 ending.  The class of a character is asked from the library's own pre-tokenizer when it is first seen, so that Unicode
-versions agree.  Nothing is kept from block to block but these classes (one byte for each code point).
+versions agree.  What is kept from block to block is these classes (one byte for each code point) and the cache of ``bpe.Merged``, both of
+fixed size.
 """
 
 from __future__ import annotations
@@ -11,10 +12,11 @@ from __future__ import annotations
 import json
 import os
 import re
+from unicodedata import is_normalized
 
 import numpy as np
 
-from .bpe import MergeList, distinct, gather
+from .bpe import Merged, MergeList, gather
 
 LETTER, NUMBER, OTHER, WHITE = 1, 2, 3, 4
 _ONE = np.zeros(256, bool)
@@ -33,10 +35,9 @@ class ByteLevel:
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        pre = spec["pre_tokenizer"] or {}
-        if spec["normalizer"] or pre.get("type") != "ByteLevel" or not pre.get("use_regex") or pre.get("add_prefix_space"):
-            raise ValueError(f"{path} is not a plain byte-level tokenizer")
+        self._check(path, spec)
         self.merges = MergeList(path)
+        self.merged = Merged(self.merges)
         self.special: dict[bytes, int] = {}
         for t in spec["added_tokens"]:
             if t["lstrip"] or t["rstrip"] or t["single_word"] or not t["special"]:
@@ -53,10 +54,17 @@ class ByteLevel:
         self.find = None
         if self.special and not special_as_text:
             self.find = re.compile(b"|".join(re.escape(c) for c in sorted(self.special, key=len, reverse=True)))
-        self._pieces = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
+        self.library = Tokenizer.from_file(path)
+        self._pieces = self.library.pre_tokenizer.pre_tokenize_str
         self._class = np.zeros(0x110000, np.uint8)
         self._ask(np.arange(128))
 
+    @staticmethod
+    def _check(path: str, spec: dict) -> None:
+        pre = spec["pre_tokenizer"] or {}
+        if spec["normalizer"] or pre.get("type") != "ByteLevel" or not pre.get("use_regex") or pre.get("add_prefix_space"):
+            raise ValueError(f"{path} is not a plain byte-level tokenizer")
+
     def _ask(self, points: np.ndarray) -> None:
         for p in points.tolist():
             c = chr(p)
@@ -97,12 +105,7 @@ class ByteLevel:
         run |= edge
         run[len(data):] = False
         begin = run.copy()
-        after = np.flatnonzero(run[:len(data)] & ~edge[:len(data)])
-        after = after[after > 0]
-        after = after[(kind[after - 1] == WHITE) & (kind[after] != WHITE)]
-        blank = after - 1 if chars is None else chars[np.searchsorted(chars, after) - 1]
-        begin[blank] = True
-        begin[after[data[blank] == 0x20]] = False
+        self._split(begin, run, edge, data, kind, chars)
         mark = np.flatnonzero(data == 0x27)
         if len(mark):
             mark = mark[begin[mark] & run[mark + 1] & ~edge[mark + 1]]
@@ -118,6 +121,16 @@ class ByteLevel:
                 begin[rest[~run[rest]]] = True
         return np.flatnonzero(begin[:len(data)]), np.flatnonzero(run[:len(data)]), kind
 
+    @staticmethod
+    def _split(begin: np.ndarray, run: np.ndarray, edge: np.ndarray, data: np.ndarray, kind: np.ndarray, chars: np.ndarray | None) -> None:
+        """The last blank of white space goes to the run after it."""
+        after = np.flatnonzero(run[:len(data)] & ~edge[:len(data)])
+        after = after[after > 0]
+        after = after[(kind[after - 1] == WHITE) & (kind[after] != WHITE)]
+        blank = after - 1 if chars is None else chars[np.searchsorted(chars, after) - 1]
+        begin[blank] = True
+        begin[after[data[blank] == 0x20]] = False
+
     def special_spans(self, data: np.ndarray, off: np.ndarray) -> list[tuple[int, int, int]]:
         """(start, end, id) of the special tokens in the texts between consecutive offsets."""
         raw = data.tobytes() if self.find is not None else b""
@@ -135,13 +148,15 @@ class ByteLevel:
 
     def tokens(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray, spans: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each pre-token); pre-tokens that are special spans have their id."""
-        places, number = distinct(data, begin, end)
-        ids, counts = self.merges.encode_many(data, begin[places], end[places])
-        for start, _, i in spans:
-            k = int(np.searchsorted(begin, start))
-            number[k] = len(counts)
-            ids, counts = np.append(ids, np.int32(i)), np.append(counts, 1)
-        return gather(ids, counts, number)
+        if not spans:
+            return self.merged.encode(data, begin, end)
+        special = np.searchsorted(begin, np.array([s[0] for s in spans]))
+        plain = np.delete(np.arange(len(begin)), special)
+        ids, counts = self.merged.encode(data, begin[plain], end[plain])
+        number = np.empty(len(begin), np.int64)
+        number[plain], number[special] = np.arange(len(plain)), len(plain) + np.arange(len(special))
+        ids = np.append(ids, np.array([s[2] for s in spans], np.int32))
+        return gather(ids, np.append(counts, np.ones(len(special), np.int64)), number)
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts between consecutive offsets, the number of ids of each text)."""
@@ -155,11 +170,71 @@ class ByteLevel:
         total = np.concatenate(([0], np.cumsum(size)))
         return ids, np.diff(total[np.searchsorted(begin, off)])
 
+    def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, the number of ids of each)."""
+        raw = [t.encode() for t in texts]
+        return self.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+
     def text_bytes(self, ids: np.ndarray) -> np.ndarray:
         """The bytes of the tokens, one after another."""
         return gather(self.blob, self.lengths, ids)[0]
 
 
+class WordLevel(ByteLevel):
+    """Tokenizers that lower-case, drop white space, and take each number character and each run of letters or others as a word whose
+    last byte is marked.  Texts in which lower case or composition is not that of single characters, and those with a special
+    token, go through the library."""
+
+    def __init__(self, path: str, special_as_text: bool = False):
+        super().__init__(path, special_as_text)
+        self.library.encode_special_tokens = special_as_text
+
+    @staticmethod
+    def _check(path: str, spec: dict) -> None:
+        steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        pre = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if (steps != ["NFC", "Replace", "Lowercase"] or [p["type"] for p in pre] != ["Split", "ByteLevel"] or pre[1]["use_regex"] or pre[1]["add_prefix_space"]
+                or pre[0]["pattern"] != {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"} or not pre[0]["invert"] or pre[0]["behavior"] != "Removed"):
+            raise ValueError(f"{path} is not a tokenizer of lower-case words")
+
+    def _ask(self, points: np.ndarray) -> None:
+        for p in points.tolist():
+            c = chr(p)
+            self._class[p] = (LETTER if len(self._pieces("a" + c)) == 1 and len(self._pieces(c)) == 1 else OTHER if len(self._pieces("!" + c)) == 1 and len(self._pieces(c)) == 1
+                              else NUMBER if len(self._pieces(c)) == 1 else WHITE)
+
+    @staticmethod
+    def _split(begin: np.ndarray, run: np.ndarray, edge: np.ndarray, data: np.ndarray, kind: np.ndarray, chars: np.ndarray | None) -> None:
+        """Each number character is a word."""
+        number = np.flatnonzero(kind == NUMBER) if chars is None else chars[kind[chars] == NUMBER]
+        begin[number] = True
+
+    def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, the number of ids of each)."""
+        low, other = [], {}
+        for k, text in enumerate(texts):
+            own = text.lower()
+            if (own.isascii() or "\u03c2" not in own and is_normalized("NFC", text)) and (self.find is None or self.find.search(text.encode()) is None):
+                low.append(own.encode())
+            else:
+                low.append(b"")
+                other[k] = np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)
+        data, off = np.frombuffer(b"".join(low), np.uint8), np.cumsum([0, *map(len, low)])
+        ids, counts = np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
+        if len(data):
+            begin, _, kind = self.starts(data, off[:-1][np.diff(off) > 0])
+            end = np.append(begin[1:], len(data))
+            word = kind[begin] != WHITE
+            ids, size = self.merged.encode(data, begin[word], end[word])
+            total = np.concatenate(([0], np.cumsum(size)))
+            counts = np.diff(total[np.searchsorted(begin[word], off)])
+        if other:
+            edge = np.cumsum(counts)
+            parts = [other[k] if k in other else ids[edge[k] - counts[k]:edge[k]] for k in range(len(texts))]
+            ids, counts = np.concatenate(parts), np.array([len(x) for x in parts], np.int64)
+        return ids, counts
+
+
 def byte_level(path: str, special_as_text: bool = False) -> ByteLevel:
     """The coder of this Python worker for a tokenizer file (tables of a fixed size)."""
     if (path, special_as_text) not in _CODERS:

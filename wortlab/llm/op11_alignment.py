@@ -26,7 +26,8 @@ are rows of their own, each counted; null ids are allowed.  An empty table gives
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ NAME = "op11_token_alignment"
 SQL = None  # tokenizers are not SQL; tests hold it against brute force
 TOKENIZER_A, TOKENIZER_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 MAX_PAIRS, SUBS, CHUNK, FAN = 1 << 22, 32, 1 << 16, 32
-CACHE_BYTES, TEXT_BLOCK, ROWS = 24 << 20, 1 << 20, 1 << 16
+CACHE_BYTES, TEXT_BLOCK, ROWS = 48 << 20, 1 << 20, 1 << 16
 _SPACE = "▁"
 
 
@@ -86,7 +87,7 @@ class Aligner:
         begin = np.flatnonzero(cut)
         return data, begin, np.searchsorted(begin, off)
 
-    def align(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
+    def align(self, units: list[bytes], with_text: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
         """Per unit (tokens of A, tokens of B, groups, links, whether both join to its bytes), the pairs of ids of all links (A's id in the
         high 32 bits) in order, and the groups as text, ``;`` after each."""
         raw = np.frombuffer(b"".join(units), np.uint8)
@@ -100,7 +101,7 @@ class Aligner:
                     raise ValueError("the piece tokenizer joined the space before a text to a line end")
                 del ids[0]
         n_b = np.array([len(x) for x in found], np.int64)
-        b = np.fromiter((i for ids in found for i in ids), np.int64, int(n_b.sum()))
+        b = np.array(list(chain.from_iterable(found)), np.int64)
         unit_b = np.repeat(np.arange(len(units)), n_b)
         total = np.bincount(unit_b, self.b_length[b], len(units)).astype(np.int64)
         ok = total == size
@@ -111,20 +112,25 @@ class Aligner:
         keep_a, keep_b = np.repeat(ok, n_a), np.repeat(ok, n_b)
         a, b = a[keep_a].astype(np.int64), b[keep_b]
         end_a, end_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.b_length[b])
-        ends, both = np.union1d(end_a, end_b), np.intersect1d(end_a, end_b, assume_unique=True)
-        pairs = (a[np.searchsorted(end_a, ends)] << 32) | b[np.searchsorted(end_b, ends)]
-        stop = np.cumsum(np.where(ok, size, 0))
-        owner = np.flatnonzero(ok)
-        of = lambda e: owner[np.searchsorted(stop[ok], e)]
-        stats = np.stack([np.where(ok, n_a, 0), np.where(ok, n_b, 0), np.bincount(of(both), minlength=len(units)),
-                          np.bincount(of(ends), minlength=len(units)), ok]).T.astype(np.int64)
-        group_a, group_b = np.searchsorted(both, end_a), np.searchsorted(both, end_b)
-        at_a = np.arange(len(a)) + np.searchsorted(group_b, group_a)
-        at_b = np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")
+        at_end = np.zeros((2, int(end_a[-1]) + 1 if len(a) else 1), bool)  # bytes before which a token of A, of B ends
+        at_end[0, end_a], at_end[1, end_b] = True, True
+        ends = np.flatnonzero(at_end[0] | at_end[1])
+        before = np.cumsum(at_end, axis=1, dtype=np.int32) - at_end  # tokens that end before
+        pairs = (a[before[0, ends]] << 32) | b[before[1, ends]]
+        both = at_end[0] & at_end[1]
+        owner = np.repeat(np.flatnonzero(ok), size[ok])  # the unit of each byte
+        stats = np.stack([np.where(ok, n_a, 0), np.where(ok, n_b, 0), np.bincount(owner[np.flatnonzero(both) - 1], minlength=len(units)),
+                          np.bincount(owner[ends - 1], minlength=len(units)), ok]).T.astype(np.int64)
+        if not with_text:
+            return stats, pairs, []
+        group = np.cumsum(both, dtype=np.int32) - both  # groups that end before
+        group_a, group_b = group[end_a], group[end_b]
+        shared = np.flatnonzero(both)
+        at_a = np.arange(len(a)) + np.concatenate(([0], before[1, shared] + 1))[group_a]  # tokens of B in earlier groups
+        at_b = np.arange(len(b)) + before[0, shared][group_b] + 1  # tokens of A up to this group's end
         ids, mark, unit = (np.zeros(len(a) + len(b), np.int64) for _ in range(3))
-        for at, own, group, last, end in ((at_a, a, group_a, ord("|"), end_a), (at_b, b, group_b, ord(";"), end_b)):
-            ids[at], unit[at] = own, of(end)
-            mark[at] = np.where(np.append(group[1:] != group[:-1], True) if len(group) else np.zeros(0, bool), last, ord(","))
+        for at, own, end, last in ((at_a, a, end_a, ord("|")), (at_b, b, end_b, ord(";"))):
+            ids[at], unit[at], mark[at] = own, owner[end - 1], np.where(both[end], last, ord(","))
         rows, width = self.digits[ids], self.width[ids]
         rows[np.arange(len(ids)), width] = mark
         text = rows[np.arange(rows.shape[1]) <= width[:, None]].tobytes()
@@ -166,7 +172,7 @@ class _Units:
         new = np.flatnonzero(numbers < 0)
         if len(new):
             fresh = [content[i] for i in new.tolist()]
-            stats, pairs, text = self.own.align(fresh)
+            stats, pairs, text = self.own.align(fresh, self.score is not None)
             base = len(self.stats)
             numbers[new] = base + np.arange(len(new))
             self.number.update(zip(fresh, numbers[new].tolist()))

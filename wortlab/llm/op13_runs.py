@@ -212,15 +212,28 @@ def collapse(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     return d.mapInArrow(make, schema)
 
 
+def _let(value, body):
+    """``body`` of a value that is computed once: a column named in a lambda is computed again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def planted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (doc_id, text) in which a tenth of the documents (by crc32 of the id) repeat themselves from some word on."""
-    words = F.filter(F.split(text_col, r"[\x20\x09-\x0D]+"), lambda w: w != "")
     h = F.crc32(F.col(id_col).cast("string").cast("binary"))
-    g, n = F.floor(h / 10), F.size(words)
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8))
-    again = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
-    text = F.when((h % 10 == 0) & (n > 0), F.array_join(again, " ")).otherwise(F.col(text_col))
+    g = F.floor(h / 10)
+
+    def places(words):
+        n = F.size(words)
+        a = g % n
+        return F.struct(words.alias("words"), a.alias("a"), (1 + F.floor((n - a) / (3 + g % 8))).alias("p"))
+
+    def again(s):
+        picked = F.transform(F.sequence(F.lit(0), F.size(s["words"]) - 1),
+                             lambda i: F.get(s["words"], F.when(i < s["a"], i).otherwise(s["a"] + (i - s["a"]) % s["p"]).cast("int")))
+        return F.array_join(picked, " ")
+
+    words = F.filter(F.split(text_col, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    text = F.when(h % 10 == 0, _let(words, lambda w: F.when(F.size(w) > 0, _let(places(w), again)))).otherwise(F.col(text_col))
     return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
 
 
