@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import ensure_ready, scratch_path
 from .shared_files import resolve
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES, SLICE_BYTES = 1 << 20, 1 << 17
 U64 = np.uint64
 
 
@@ -54,9 +55,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task; after the last one, memory that the worker process holds but does not use goes back."""
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # not glibc
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of the batches with about ``max_bytes`` of text each, as (rows, UTF-8 bytes, offsets from 0); null is empty."""
-    for batch in batches:
+    for batch in released(batches):
         if not batch.num_rows:
             continue
         col = batch.column(batch.schema.get_field_index(text)).cast(pa.large_binary()).fill_null(b"")
@@ -98,15 +109,20 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word: random values for (byte, place in the word), added up and mixed."""
-        if not self.n:
-            return np.zeros(0, U64)
-        at = np.flatnonzero(self.inside)
-        word = np.cumsum(self.begins)[at] - 1
-        place = at - self.start[word]
-        values = _TABLE[((place & 63) << 8) | self.data[at]]
-        if len(place) and place.max() > 63:
-            values = values * (((place >> 6).astype(U64) * U64(0x9E3779B97F4A7C16)) + U64(1))
-        return mix(np.add.reduceat(values, np.searchsorted(at, self.start)))
+        out = np.zeros(self.n, U64)
+        i = 0
+        while i < self.n:  # some words at a time: the numbers below take many times the bytes of the words
+            j = max(i + 1, int(np.searchsorted(self.end, self.start[i] + SLICE_BYTES)))
+            low, high = int(self.start[i]), int(self.end[j - 1])
+            at = np.flatnonzero(self.inside[low:high])
+            word = np.cumsum(self.begins[low:high], dtype=np.int32)[at] - 1
+            place = at - (self.start[i:j] - low)[word]
+            values = _TABLE[((place & 63) << 8) | self.data[low:high][at]]
+            if place.max() > 63:
+                values = values * (((place >> 6).astype(U64) * U64(0x9E3779B97F4A7C15)) + U64(1))
+            out[i:j] = mix(np.add.reduceat(values, np.searchsorted(at, self.start[i:j] - low)))
+            i = j
+        return out
 
 
 _TABLE = np.random.default_rng(20240607).integers(0, 1 << 64, 64 * 256, dtype=U64)

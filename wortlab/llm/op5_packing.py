@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import documents
+from .common import documents, released
 from .tokens import encoder
 
 NAME = "op5_pack_sequences"
@@ -161,7 +161,7 @@ def pack(docs: DataFrame, tokenizer: str, kind: str, end_id: int = END_ID, id_co
             return pa.RecordBatch.from_arrays([pa.array(out[0], id_type), *[pa.array(c, pa.int64()) for c in out[1:6]], pa.array(out[6], pa.binary())],
                                               names=schema.names)
 
-        for batch in batches:
+        for batch in released(batches):
             id_type = batch["doc_id"].type
             for a in range(0, batch.num_rows, 200):
                 part = batch.slice(a, 200)

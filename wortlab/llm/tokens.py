@@ -1,121 +1,32 @@
-"""Token ids of whole texts with the ``tokenizers`` library, through a cache of the units between isolated white space.
-
-A text is cut where its tokenizer cannot join: before a single space or line end between two other characters (byte-level
-tokenizers, whose pre-tokens begin with at most that space), or at all white space (word tokenizers that drop it).  Each new unit
-is encoded by the library once per Python worker and kept; ids are those of the whole text.  At ``MAX_UNITS`` entries the
-older half of the cache goes, so memory is bounded.
-"""
+"""Token ids of whole texts by kind of tokenizer, as ``byte_level.py`` computes them; they are the ids of the library's plain call."""
 
 from __future__ import annotations
 
-import itertools
-import os
-import re
-from array import array
-from unicodedata import is_normalized
-
 import numpy as np
 
-MAX_UNITS, LONGEST_UNIT = 600_000, 80
-_PAIRS = ("  ", "\n\n", " \n", "\n ")
-#: White space of the str type other than space and line end, and the mark that is used for cutting.
-_OTHER = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n") + ("\x00",)
-_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
-_ODD = re.compile("[\x1c-\x1f]")  # white space for Python, not for the library
-_MARKS = ".,;:!?"
-#: How byte-level tokenizers write a byte: printable Latin-1 characters stand for themselves, the others follow from 256 on.
-_SELF = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_BYTE = [chr(b) if b in _SELF else chr(256 + sum(x not in _SELF for x in range(b))) for b in range(256)]
-_CACHED: dict[tuple[str, str], Encoder] = {}
-
-
-def spaced_units(text: str) -> list[str]:
-    """Units that begin with the isolated space or line end before them."""
-    if any(p in text for p in _PAIRS) or any(c in text for c in _OTHER):
-        return _CUT.split(text)
-    return text.replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00")
-
-
-def bare_units(text: str) -> list[str]:
-    """Units without white space."""
-    return [text] if _ODD.search(text) else text.split()
+from .byte_level import ByteLevel, WordLevel
 
 
 class Encoder:
-    """``kind``: "spaced" (white space belongs to tokens) or "bare" (the tokenizer drops it).  ``special_as_text``: the
+    """``kind``: "spaced" (byte-level, white space belongs to tokens) or "bare" (the tokenizer drops it).  ``special_as_text``: the
     strings of special tokens in a text are ordinary text; else each is its special id, as the library does by itself."""
 
     def __init__(self, path: str, kind: str, special_as_text: bool = True):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = special_as_text
-        self.model = self.tokenizer.model
-        self.units, self.glue = {"spaced": (spaced_units, False), "bare": (bare_units, True)}[kind]  # glue: white space is dropped
-        self.cache: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
-
-    def _part(self, part: str) -> bytes:
-        """Ids of one pre-token."""
-        if not part.isascii() or part[0] <= " ":
-            part = "".join([_BYTE[x] for x in part.encode()])
-        return array("I", [t.id for t in self.model.tokenize(part)]).tobytes()
-
-    def _plain(self, unit: str) -> bytes | None:
-        """Ids of a unit that is letters with at most one white space before and marks after: its pre-tokens are known."""
-        core = unit.rstrip(_MARKS)
-        marks, head = unit[len(core):], ""
-        if self.glue:
-            core = core.lower()
-        elif core[:1] in ("\n", " "):
-            head, core = core[0], core[1:]
-        if not core.isalpha() or not core.isascii() and ("\u03c2" in core or not is_normalized("NFC", unit)):
-            return None
-        ids = self._part("\n") + self._part(core) if head == "\n" else self._part(head + core)
-        if marks:
-            if marks not in self.marks:
-                if len(self.marks) > 10_000:
-                    self.marks.clear()
-                self.marks[marks] = self._part(marks)
-            ids += self.marks[marks]
-        return ids
-
-    def learn(self, new: set[str]) -> dict[str, bytes]:
-        """Ids of new units: from the library's model for plain ones, from the whole tokenizer for the others."""
-        out = {}
-        for u in new:
-            ids = self._plain(u)
-            out[u] = np.array(self.tokenizer.encode(u, add_special_tokens=False).ids, "<u4").tobytes() if ids is None else ids
-        return out
+        self.coder = {"spaced": ByteLevel, "bare": WordLevel}[kind](path, special_as_text)
+        self.tokenizer = self.coder.library
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
-        cache, out, open_ = self.cache, [], []
-        for text in texts:
-            units = self.units(text)
-            found = list(map(cache.get, units))
-            try:
-                out.append(b"".join(found))
-            except TypeError:  # a unit that is not in the cache
-                missing = [i for i, x in enumerate(found) if x is None]
-                open_.append((len(out), units, found, missing))
-                out.append(b"")
-        new = {units[i] for _, units, _, missing in open_ for i in missing}
-        learned = self.learn(new)
-        for at, units, found, missing in open_:
-            for i in missing:
-                found[i] = learned[units[i]]
-            out[at] = b"".join(found)
-        if len(cache) + len(learned) > MAX_UNITS:  # the older half goes
-            for u in list(itertools.islice(cache, len(cache) // 2)):
-                del cache[u]
-        cache.update((u, x) for u, x in learned.items() if len(u) <= LONGEST_UNIT)
-        return out
+        ids, counts = self.coder.encode_texts(texts)
+        raw, stop = ids.astype("<u4").tobytes(), np.cumsum(counts)
+        return [raw[4 * a:4 * b] for a, b in zip((stop - counts).tolist(), stop.tolist())]
+
+
+_CACHED: dict[tuple[str, str], Encoder] = {}
 
 
 def encoder(path: str, kind: str) -> Encoder:
-    """The encoder of this Python worker for a tokenizer file; its ids are those of the library's plain call."""
+    """The encoder of this Python worker for a tokenizer file (tables and a cache of a fixed size)."""
     if (path, kind) not in _CACHED:
         _CACHED[path, kind] = Encoder(path, kind, special_as_text=False)
     return _CACHED[path, kind]
