@@ -1,8 +1,8 @@
 """Operator 6: token ids of whole texts in files of 64-bit words (Simple-8b).
 
 The documents are range-partitioned by id (text under the same id breaks ties), sorted, tokenized and written by the task that
-holds them, in ascending order: partition p writes ``part-<p>-<k>.s8b``, a new file after ``FILE_IDS`` ids.  Names in order
-are ids in order.  A manifest has one row per file; a file's first position is the running total over the manifest.
+holds them, in ascending order: partition p writes ``part-<p>-<k>.s8b``, a new file after ``FILE_IDS`` ids.  Files in the
+order of the numbers p and k are ids in order.  A manifest has one row per file; a file's first position is the running total over the manifest.
 
 File (little-endian): magic, documents, ids, blocks, table size; the table of ids by falling frequency in the file (ids are
 coded by their rank, so frequent ones are small); per document its id, validity and id count; per block of ``BLOCK`` ids the
@@ -164,7 +164,7 @@ def read_file(raw: bytes) -> tuple[list, np.ndarray, np.ndarray]:
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, kind: str, end_id: int = END_ID, id_col: str = "doc_id",
                       text_col: str = "text", file_ids: int = FILE_IDS) -> DataFrame:
-    """Writes the files and returns the manifest (path, n_docs, n_ids), itself a written table."""
+    """Writes the files and returns the manifest (path, part, k, n_docs, n_ids; in the order of part and k), itself a written table."""
     def make(batches):
         part, k, manifest = TaskContext.get().partitionId(), 0, []
         names, counts, parts, size = [], [], [], 0
@@ -174,7 +174,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, kind: str, e
             path = f"{folder}/part-{part:06d}-{k:04d}.s8b"
             with whole_file(path) as out:
                 out.write(file_bytes(names, counts, np.frombuffer(b"".join(parts), "<u4")))
-            manifest.append((path, len(names), size))
+            manifest.append((path, part, k, len(names), size))
             k, names, counts, parts, size = k + 1, [], [], [], 0
 
         end, coder = np.array([end_id], "<u4").tobytes(), encoder(tokenizer, kind)
@@ -191,13 +191,13 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, kind: str, e
                         close()
         if names:
             close()
-        yield pa.record_batch([pa.array(list(c), t) for c, t in zip(zip(*manifest) if manifest else ((), (), ()), (pa.string(), pa.int64(), pa.int64()))],
-                              names=["path", "n_docs", "n_ids"])
+        yield pa.record_batch([pa.array(list(c), t) for c, t in zip(zip(*manifest) if manifest else ((),) * 5, (pa.string(), *[pa.int64()] * 4))],
+                              names=["path", "part", "k", "n_docs", "n_ids"])
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = d.repartitionByRange(n, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    return written(ordered.mapInArrow(make, "path string, n_docs long, n_ids long"), "op6-manifest")
+    return written(ordered.mapInArrow(make, "path string, part long, k long, n_docs long, n_ids long"), "op6-manifest")
 
 
 def read_token_files(manifest: DataFrame) -> DataFrame:
@@ -213,7 +213,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                                        pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     # one row per file (millions of ids each): a running total over the manifest, in one small task
-    base = manifest.withColumn("base", F.sum("n_ids").over(Window.orderBy("path")) - F.col("n_ids"))
+    base = manifest.withColumn("base", F.sum("n_ids").over(Window.orderBy("part", "k")) - F.col("n_ids"))
     n = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return base.repartition(n, "path").mapInArrow(make, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
