@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from .common import Words, blocks, covered, documents
 
 NAME = "op7_decontaminate"
-WINDOW, BENCHMARK_BYTES, SHARD_BYTES = 10, 128 << 20, 4 << 20
+WINDOW, BENCHMARK_BYTES, SHARD_BYTES = 10, 128 << 20, 2 << 20
 _BITS, _PER = 21, 3  # three word numbers in one integer
 
 _LOWER = np.arange(256, dtype=np.uint8)
