@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as E
 from wortlab.sources.tables import TABLES
 
-from conftest import SF001
+from paths import SF001
 
 QUERIES = E.queries()
 SQL = E.oracle_sql()

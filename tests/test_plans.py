@@ -2,7 +2,7 @@
 
 import __spark_entry__ as E
 
-from conftest import SF001
+from paths import SF001
 
 
 import contextlib

@@ -8,7 +8,7 @@ from wortlab.operators import profile as PR
 from wortlab.operators import stats as S
 from wortlab.sources.tables import load
 
-from conftest import SF01
+from paths import SF01
 
 # published yearly means (golden values, rounded to 8 places)
 BY_YEAR = [(2011, 0.22361796), (2012, 0.21685000), (2013, 0.21334856), (2014, 0.19663074), (2015, 0.16852842),

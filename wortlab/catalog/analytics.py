@@ -101,7 +101,13 @@ def derive_columns(spark, sf_dir):
 
 # ------------------------------------------------------------------ histograms
 
-def _hist_sql(src: str, v: str, n: int, fmt: str = "%.6f - %.6f") -> str:
+def _label_sql(places: int, lo: str = "lo", hi: str = "hi") -> str:
+    """X17 with the rounding rule of X14."""
+    rounded = [f"floor({e} * {10 ** places}.0 + 0.5) / {10 ** places}.0" for e in (lo, hi)]
+    return f"printf('%.{places}f - %.{places}f', {rounded[0]}, {rounded[1]})"
+
+
+def _hist_sql(src: str, v: str, n: int, places: int = 6) -> str:
     return f"""st AS (SELECT min({v}) AS mn, max({v}) AS mx FROM {src}),
 ex AS (SELECT CASE WHEN mn = mx THEN mn - (CASE WHEN mn = 0 THEN 0.001 ELSE abs(mn) * 0.001 END) ELSE mn END AS lo,
               CASE WHEN mn = mx THEN mx + (CASE WHEN mn = 0 THEN 0.001 ELSE abs(mn) * 0.001 END) ELSE mx END AS hi,
@@ -112,7 +118,7 @@ eg AS (SELECT list_transform(range(0, {n} + 1), lambda i: CASE WHEN i = {n} THEN
 cnt AS (SELECT 1 + len(list_filter(e[2:{n}], lambda x: x < {v})) AS bin, count(*) AS c
         FROM {src}, eg WHERE {v} > e[1] AND {v} <= e[{n} + 1] GROUP BY 1),
 bins AS (SELECT CAST(b AS INTEGER) AS bin, e[b] AS lo, e[b + 1] AS hi FROM eg, range(1, {n} + 1) t(b))
-SELECT bins.bin, {r('lo', 'lo')}, {r('hi', 'hi')}, printf('{fmt}', lo, hi) AS label,
+SELECT bins.bin, {r('lo', 'lo')}, {r('hi', 'hi')}, {_label_sql(places)} AS label,
        CAST(coalesce(c, 0) AS BIGINT) AS count
 FROM bins LEFT JOIN cnt USING (bin) ORDER BY bin"""
 
@@ -120,19 +126,19 @@ FROM bins LEFT JOIN cnt USING (bin) ORDER BY bin"""
 @query("histogram_10", with_articles(", " + _hist_sql("articles", "loanword_density", 10)).replace(")\n, st AS", "),\nst AS"))
 def histogram_10(spark, sf_dir):
     """10 equal-width bins of the density, empty bins kept."""
-    return finish(S.equal_width_histogram(loanword_articles(spark, sf_dir), "loanword_density", 10, "%.6f - %.6f"))
+    return finish(S.equal_width_histogram(loanword_articles(spark, sf_dir), "loanword_density", 10, 6))
 
 
 @query("histogram_20", with_articles(", " + _hist_sql("articles", "loanword_density", 20)).replace(")\n, st AS", "),\nst AS"))
 def histogram_20(spark, sf_dir):
     """A7 the same with 20 bins (the notebook computed them but wrote 10)."""
-    return finish(S.equal_width_histogram(loanword_articles(spark, sf_dir), "loanword_density", 20, "%.6f - %.6f"))
+    return finish(S.equal_width_histogram(loanword_articles(spark, sf_dir), "loanword_density", 20, 6))
 
 
 @query("histogram_events", "WITH " + _hist_sql("events", "value", 10))
 def histogram_events(spark, sf_dir):
     """A6 at volume on a long-tailed column (has an empty bin)."""
-    return finish(S.equal_width_histogram(load(spark, sf_dir, "events"), "value", 10, "%.6f - %.6f",
+    return finish(S.equal_width_histogram(load(spark, sf_dir, "events"), "value", 10, 6,
                                            derived_input=False))
 
 
@@ -143,7 +149,7 @@ def _edge_hist_sql() -> str:
 cnt AS (SELECT 1 + len(list_filter(e[2:{n}], lambda x: x < loanword_density)) AS bin, count(*) AS c
         FROM articles, eg WHERE loanword_density >= e[1] AND loanword_density <= e[{n} + 1] GROUP BY 1),
 bins AS (SELECT CAST(b AS INTEGER) AS bin, e[b] AS lo, e[b + 1] AS hi FROM eg, range(1, {n} + 1) t(b))
-SELECT bins.bin, {r('lo', 'lo')}, {r('hi', 'hi')}, printf('%.2f - %.2f', lo, hi) AS label,
+SELECT bins.bin, {r('lo', 'lo')}, {r('hi', 'hi')}, {_label_sql(2)} AS label,
        CAST(coalesce(c, 0) AS BIGINT) AS count
 FROM bins LEFT JOIN cnt USING (bin) ORDER BY bin""").replace(")\n, eg AS", "),\neg AS")
 
@@ -151,7 +157,7 @@ FROM bins LEFT JOIN cnt USING (bin) ORDER BY bin""").replace(")\n, eg AS", "),\n
 @query("histogram_edges", _edge_hist_sql())
 def histogram_edges(spark, sf_dir):
     """A8 bins from given edges, lowest edge included, outside dropped."""
-    return finish(S.edge_histogram(loanword_articles(spark, sf_dir), "loanword_density", A8_EDGES, "%.2f - %.2f"))
+    return finish(S.edge_histogram(loanword_articles(spark, sf_dir), "loanword_density", A8_EDGES, 2))
 
 
 # ------------------------------------------------------------------ trend line
@@ -354,7 +360,7 @@ def bin_lookup(spark, sf_dir):
     return ev.select("event_id", F.when((v > e[0]) & (v <= e[-1]), S.bin_index(v, inner)).alias("bin"))
 
 
-@query("dense_bins", "WITH " + _hist_sql("events", "value", 10).replace("printf('%.6f - %.6f', lo, hi) AS label,", "")
+@query("dense_bins", "WITH " + _hist_sql("events", "value", 10).replace(f"{_label_sql(6)} AS label,", "")
        .replace(f"{r('lo', 'lo')}, {r('hi', 'hi')}, ", ""))
 def dense_bins(spark, sf_dir):
     """J5 bin table left join counts: empty bins appear with count 0."""
@@ -373,7 +379,7 @@ def sort_by_key(spark, sf_dir):
 @query("sort_bins", "WITH " + _hist_sql("events", "value", 20))
 def sort_bins(spark, sf_dir):
     """T4 bins in bin order (not label order), 20 bins."""
-    return finish(S.equal_width_histogram(load(spark, sf_dir, "events"), "value", 20, "%.6f - %.6f",
+    return finish(S.equal_width_histogram(load(spark, sf_dir, "events"), "value", 20, 6,
                                            derived_input=False))
 
 
@@ -397,7 +403,7 @@ def _chart(name: str, cells: list[str], source: str) -> str:
 
 _SEM = "stddev_samp(loanword_density) / sqrt(count(loanword_density))"
 _MEAN = _cell("avg(loanword_density)")
-_HIST = "(SELECT printf('%.4f - %.4f', lo, hi) AS label, count AS n FROM (WITH {}))"
+_HIST = f"(SELECT {_label_sql(4)} AS label, count AS n FROM (WITH {{}}))"
 _CHARTS = [
     _chart("loanword_density_by_year", ["year", _cell("m")], "yearly"),
     "SELECT 'loanword_density_confidence' AS chart, year || '|' || " + " || '|' || ".join([

@@ -51,14 +51,14 @@ _doc("date_part_text", "X12 text before 'T'", lambda: X.date_part_text(F.date_fo
 _doc("safe_ratio", "X13 a / b, 0 when b is 0", lambda: X.safe_ratio(F.col("value"), (F.col("user_id") % 3).cast("double")),
      r("CASE WHEN user_id % 3 = 0 THEN 0.0 ELSE value / (user_id % 3) END", "x").rsplit(" AS ", 1)[0],
      table="events", key="event_id")
-# value / 7 has no exact decimal ties at the 5th place; at such ties Spark
-# (half up on the decimal form) and DuckDB (binary value) round differently.
-_doc("round_n", "X14 round half up to 4 places", lambda: X.round_n(F.col("value") / 7, 4), "round(value / 7, 4)",
+# a third of the values are ties at the 5th place (odd multiples of 1 / 32)
+_TIES = "CASE WHEN event_id % 3 = 0 THEN (event_id % 997 - 400) / 32.0 ELSE value / 7 END"
+_doc("round_n", "X14 round half up to 4 places", lambda: X.round_n(F.expr(_TIES.replace("32.0", "32.0D")), 4), f"floor(({_TIES}) * 10000.0 + 0.5) / 10000.0",
      table="events", key="event_id")
 _doc("sqrt", "X15 square root", lambda: F.sqrt("value"), r("sqrt(value)", "x").rsplit(" AS ", 1)[0],
      table="events", key="event_id")
-_doc("format_bin", "X17 bin label text", lambda: F.format_string("%.2f - %.2f", F.col("value"), F.col("value") * 2),
-     "printf('%.2f - %.2f', value, value * 2)", table="events", key="event_id")
+_doc("format_bin", "X17 bin label text", lambda: X.bin_label(F.col("event_id") / 8.0, F.col("value") * 2, 2),
+     "printf('%.2f - %.2f', floor(event_id / 8.0 * 100.0 + 0.5) / 100.0, floor(value * 2 * 100.0 + 0.5) / 100.0)", table="events", key="event_id")
 
 
 @query("fill_empty_text", """SELECT d.doc_id, coalesce(CAST(l.quality AS VARCHAR), '') AS fill_empty_text

@@ -104,8 +104,15 @@ def safe_ratio(a, b) -> Column:
 
 
 def round_n(c, n: int = 4) -> Column:
-    """X14 round half up to n places."""
-    return F.round(_c(c), n)
+    """X14 round to n places: floor(x * 10^n + 0.5) / 10^n in doubles, the one
+    rule for ties here and in the oracle SQL (engines differ in their own)."""
+    scale = float(10 ** n)
+    return F.floor(_c(c) * scale + 0.5) / scale
+
+
+def bin_label(lo, hi, n: int) -> Column:
+    """X17 ``lo - hi`` with n places, rounded by ``round_n``."""
+    return F.format_string(f"%.{n}f - %.{n}f", round_n(lo, n), round_n(hi, n))
 
 
 def fill_empty_text(c) -> Column:

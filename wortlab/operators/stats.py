@@ -15,6 +15,8 @@ from typing import Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import bin_label
+
 Z95 = 1.96  # fixed value: normal quantile used for the 95 % band
 
 
@@ -102,7 +104,7 @@ def bin_index(v: Column, inner_edges: Column) -> Column:
     return F.lit(1) + F.size(F.filter(inner_edges, lambda e: e < v))
 
 
-def equal_width_histogram(df: DataFrame, value: str, n: int = 10, label_fmt: str = "%.4f - %.4f",
+def equal_width_histogram(df: DataFrame, value: str, n: int = 10, label_places: int = 4,
                           derived_input: bool = True) -> DataFrame:
     """A6 / A7 ``pd.cut(col, bins=n)`` + ``value_counts().sort_index()``.
 
@@ -134,18 +136,18 @@ def equal_width_histogram(df: DataFrame, value: str, n: int = 10, label_fmt: str
     adj = F.when(same, F.lit(0.0)).otherwise((mx - mn) * 0.001)
     edges[0] = edges[0] - adj
     stats = stats.select(F.array(*edges).alias("_edges"))  # one row
-    return _histogram(df, value, stats, n, label_fmt, include_lowest=False, weight="_w" if derived_input else None)
+    return _histogram(df, value, stats, n, label_places, include_lowest=False, weight="_w" if derived_input else None)
 
 
-def edge_histogram(df: DataFrame, value: str, edges: list[float], label_fmt: str = "%.2f - %.2f") -> DataFrame:
+def edge_histogram(df: DataFrame, value: str, edges: list[float], label_places: int = 2) -> DataFrame:
     """A8 ``pd.cut(col, bins=edges, labels=..., include_lowest=True)``:
     values outside [e0, en] are dropped, empty bins kept."""
     spark = df.sparkSession
     stats = spark.range(1).select(F.array(*[F.lit(float(e)) for e in edges]).alias("_edges"))
-    return _histogram(df, value, stats, len(edges) - 1, label_fmt, include_lowest=True)
+    return _histogram(df, value, stats, len(edges) - 1, label_places, include_lowest=True)
 
 
-def _histogram(df, value, stats, n, label_fmt, include_lowest, weight=None):
+def _histogram(df, value, stats, n, label_places, include_lowest, weight=None):
     v = F.col(value)
     e = F.col("_edges")
     inner = F.slice(e, 2, n - 1)
@@ -160,7 +162,7 @@ def _histogram(df, value, stats, n, label_fmt, include_lowest, weight=None):
                                                   F.slice(e, 2, n).alias("hi"))).alias("i", "b"))
                  .select((F.col("i") + 1).alias("bin"), F.col("b.lo").alias("lo"), F.col("b.hi").alias("hi")))
     return (bins.join(counted, "bin", "left")
-                .select("bin", "lo", "hi", F.format_string(label_fmt, "lo", "hi").alias("label"),
+                .select("bin", "lo", "hi", bin_label("lo", "hi", label_places).alias("label"),
                         F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))
                 .orderBy("bin"))
 
