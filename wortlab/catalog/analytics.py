@@ -403,14 +403,14 @@ def _chart(name: str, cells: list[str], source: str) -> str:
 
 _SEM = "stddev_samp(loanword_density) / sqrt(count(loanword_density))"
 _MEAN = _cell("avg(loanword_density)")
-_HIST = f"(SELECT {_label_sql(4)} AS label, count AS n FROM (WITH {{}}))"
+_HIST = "(SELECT label, count AS n FROM (WITH {}))"
 _CHARTS = [
     _chart("loanword_density_by_year", ["year", _cell("m")], "yearly"),
     "SELECT 'loanword_density_confidence' AS chart, year || '|' || " + " || '|' || ".join([
         _MEAN, "count(loanword_density)", _cell("stddev_samp(loanword_density)"), _cell(_SEM), _cell(f"avg(loanword_density) - 1.96 * {_SEM}"),
         _cell(f"avg(loanword_density) + 1.96 * {_SEM}")]) + " AS row FROM articles WHERE year IS NOT NULL GROUP BY year",
-    _chart("loanword_density_histogram", ["label", "n"], _HIST.format(_hist_sql("articles", "loanword_density", 10))),
-    _chart("loanword_density_histogram_20", ["label", "n"], _HIST.format(_hist_sql("articles", "loanword_density", 20))),
+    _chart("loanword_density_histogram", ["label", "n"], _HIST.format(_hist_sql("articles", "loanword_density", 10, 4))),
+    _chart("loanword_density_histogram_20", ["label", "n"], _HIST.format(_hist_sql("articles", "loanword_density", 20, 4))),
     _chart("loanword_density_histogram_bins10", ["label", "count"], f"({_edge_hist_sql()})"),
     *[f"SELECT 'loanword_density_by_{k}' AS chart, {k} || '|' || {_MEAN} AS row FROM articles WHERE {k} IS NOT NULL GROUP BY {k}" for k in ("sentiment", "topic")],
     "SELECT 'sentiment_pivot' AS chart, year || '|' || " + " || '|' || ".join(
