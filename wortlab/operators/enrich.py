@@ -99,6 +99,7 @@ def rule_answer(task: str, text: F.Column, words: F.Column, prompt: F.Column) ->
 
 _FACTORIES: dict[str, tuple[int, Callable[[], object]]] = {}
 _INSTANCES: dict[str, tuple[int, object]] = {}
+_COLUMNS: dict[str, dict[str, Callable[[DataFrame, str, str], DataFrame]]] = {}
 
 
 def register_backend(name: str, factory: Callable[[], object]) -> None:
@@ -109,6 +110,14 @@ def register_backend(name: str, factory: Callable[[], object]) -> None:
     _FACTORIES[name] = (_FACTORIES.get(name, (0, None))[0] + 1, factory)
 
 
+def register_column_backend(name: str, answers: dict[str, Callable[[DataFrame, str, str], DataFrame]]) -> None:
+    """Register a back end that runs in the JVM: by task, a function of the
+    rows, their text column and the answer's column that adds the answer."""
+    if name == RULES or name in _FACTORIES:
+        raise ValueError(f"{name} is taken")
+    _COLUMNS[name] = answers
+
+
 def get_backend(name: str, registered: tuple[int, Callable[[], object]]):
     """One instance per Python worker and registration.  The factory is
     resolved on the driver and shipped with the task closure, so back ends
@@ -177,6 +186,11 @@ def infer(df: DataFrame, tasks: dict[str, str], backend: str = RULES, text_col:
     prompt = {t: (prompts or {}).get(t, F.lit("")) for t in tasks.values()}
     if backend == RULES:
         return df.select("*", *[rule_answer(t, text, words, prompt[t]).alias(c) for c, t in tasks.items()])
+    if backend in _COLUMNS:
+        out = df.withColumn("_text", text)
+        for c, t in tasks.items():
+            out = _COLUMNS[backend][t](out, "_text", c)
+        return out.select(*df.columns, *tasks)
     out_schema = StructType(df.schema.fields + [StructField(c, StringType(), True) for c in tasks])
     cols, registered, asked = df.columns, _FACTORIES[backend], list(dict.fromkeys(tasks.values()))
     given = df.select("*", text.alias("_text"), words.alias("_words"), *[prompt[t].alias(f"_prompt_{i}") for i, t in enumerate(asked)])
