@@ -52,4 +52,4 @@ def finish(df: DataFrame, places: int = PLACES) -> DataFrame:
 
 
 def load_all() -> None:
-    from . import analytics, loanwords, pages, profiling, incremental, enrichment, streaming, scalars, learned  # noqa: F401
+    from . import analytics, loanwords, pages, profiling, incremental, enrichment, streaming, scalars, learned, lexicon  # noqa: F401

@@ -153,3 +153,9 @@ def spark_stop_words(language: str = "german") -> tuple[str, ...]:
     if language != "german":
         raise ValueError(f"no stop word list for {language!r}")
     return GERMAN
+
+
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once; an expression that is used
+    inside a lambda would be computed again for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
