@@ -84,6 +84,19 @@ def test_substring_dedup(crowded, rows):
     assert bag(op10_substring.substring_dedup(crowded), "doc_id", "n_words", "n_removed", "text") == want
 
 
+@pytest.mark.parametrize("most", [op10_substring.MAX_KEYS, 0])
+def test_substring_dedup_of_a_row_repeated_ten_thousand_times(spark, most, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(op10_substring, "MAX_KEYS", most)
+    passage, short = " ".join(f"w{i}" for i in range(40)), " ".join(f"s{i}" for i in range(34))
+    texts = [(1, passage + " tail of one"), (2, "other " + passage), (3, short), (4, " ".join(f"u{i}" for i in range(50)))]
+    df = spark.range(10_000).select(F.lit(1).cast("long").alias("doc_id"), F.lit(texts[0][1]).alias("text")).unionByName(
+        spark.createDataFrame([*texts[1:], texts[2]], "doc_id long, text string")).repartition(6)
+    got = op10_substring.substring_dedup(df).groupBy("doc_id", "n_words", "n_removed", "text").count().collect()
+    assert {tuple(r) for r in got} == {(1, 43, 43, "", 10_000), (2, 41, 40, "other", 1), (3, 34, 0, short, 2), (4, 50, 0, texts[3][1], 1)}
+
+
 def test_substring_dedup_of_short_windows(docs, rows):
     want = Counter((r[0], sum(g)) for r, (w, g) in zip(rows, repeats([r[1] for r in rows], 3)))
     assert bag(op10_substring.substring_dedup(docs, min_words=3), "doc_id", "n_removed") == want

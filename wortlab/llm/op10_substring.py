@@ -6,6 +6,8 @@ README), so it is kept for a bounded reference only: ``remove_reference_passages
 holds (matching statistics from broadcast automata).  Passages repeated inside the corpus are found by hashing, in jobs
 that each grow with the input:
 
+0. ``_copies``: rows repeated under one id are counted by a hash of (id, text) and one of them goes on; if there are
+   others, all their windows are repeated.
 1. ``window_runs``: every window's anchor is its 8-word gram with the least hash (the leftmost of equals); consecutive windows
    around one anchor make a run (about one per 14 words).  Equal windows have equal anchors at equal distances, so a
    window is repeated only if its anchor is, and no two windows of one run are equal.
@@ -36,6 +38,7 @@ from .common import Words, blocks, covered, documents, grams, mix, sliding_argmi
 
 NAME = "op10_substring_dedup"
 MIN_WORDS, GRAM = 35, 8
+MAX_KEYS = 1 << 20  # of rows with copies that are broadcast (8 MB); above, they are joined by a shuffle
 U64 = np.uint64
 
 
@@ -44,6 +47,18 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).alias("text"))
 
 
+def _copies(keyed: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    """(the keys of rows that occur more than once, or None; one row of each key).  A row repeated very often is one row per task before
+    it is shuffled, and its copies never meet in a list."""
+    copied = written(keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("_key"), "op10-copies")
+    n = copied.count()
+    if not n:
+        return None, keyed
+    own = F.broadcast(copied) if n <= MAX_KEYS else copied
+    one = keyed.join(own, "_key", "left_semi").groupBy("_key").agg(F.any_value("text").alias("text"))
+    return copied, keyed.join(own, "_key", "left_anti").select("_key", "text").unionByName(one)
+
+
 def _runs(words: Words, min_words: int):
     """Runs of windows of the block: first window (a word number), windows, anchor; then the window hashes and word documents."""
     h, k = words.hashes(), min(GRAM, min_words)
@@ -120,7 +135,11 @@ def repeated_places(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """Per row: doc_id, text (what is kept), n_words, n_removed, spans (removed word ranges, start inclusive, end exclusive)."""
     keyed = _keyed(docs, id_col, text_col)
-    places = repeated_places(keyed, min_words)
+    copied, single = _copies(keyed)
+    places = repeated_places(single, min_words)
+    if copied is not None:  # every window of a row with copies is repeated
+        all_words = F.array(F.struct(F.lit(0).alias("start"), F.lit(1 << 30).alias("n")))
+        places = places.join(copied, places["key"] == copied["_key"], "left_anti").unionByName(copied.select(F.col("_key").alias("key"), all_words.alias("places")))
     return _cut(keyed.join(places, F.col("_key") == F.col("key"), "left").drop("_key", "key"), min_words)
 
 
@@ -132,7 +151,7 @@ def _cut(rows: DataFrame, min_words: int) -> DataFrame:
             for doc, text, places in zip(batch["doc_id"], batch["text"], batch["places"]):
                 text, spans, removed = text.as_py(), [], 0
                 words = (text or "").encode().split()
-                if places.is_valid and len(places):
+                if places.is_valid and len(places) and len(words) >= min_words:
                     v = places.values
                     gone = covered(len(words), v.field("start").to_numpy(), v.field("n").to_numpy() + (min_words - 1))
                     edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0]))))
