@@ -58,3 +58,12 @@ def test_derived_tables_read_twice_are_computed_once(spark):
         assert p.count("documents.parquet") == 0, name
     p = plan(E.queries()["unwanted_loanwords"](spark, SF001))
     assert p.count("documents.parquet") == 0
+
+
+def test_flagship_exchanges(spark):
+    """Ahead of the fold per year: the vocabulary by word, the entries by word, the found words by id, the labels by
+    id; the words of an article are folded in its row, and the labels join on the exchange that is there."""
+    p = plan(E.queries()["mean_ci_by_year"](spark, SF001))
+    exchanges = [line for line in p.splitlines() if line.startswith("Arguments: hashpartitioning")]
+    assert len(exchanges) == 5, exchanges
+    assert sum("article_id" in e or "doc_id" in e for e in exchanges) == 2

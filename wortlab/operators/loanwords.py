@@ -80,6 +80,25 @@ def detect_loanwords(tokens: DataFrame, lexicon: DataFrame, word_col: str = "wor
     return tokens.join(lexicon, word_col, "left_semi")
 
 
+def _run_starts(words: str) -> Column:
+    """The places where a run of equal words begins in an array of (word, pos) sorted by both."""
+    w = F.col(words)
+    starts = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: (i == 0) | (F.get(w, i)["word"] != F.get(w, i - 1)["word"]))
+    return F.when(F.size(w) > 0, starts)
+
+
+def _runs(words: str, starts: str, with_places: bool) -> Column:
+    """One entry (word, n, first[, ps]) per run of equal words."""
+    w, size = F.col(words), F.size(words)
+
+    def entry(start: Column, end: Column) -> Column:
+        n = end - start
+        places = [F.transform(F.slice(w, start + 1, n), lambda x: x["pos"]).alias("ps")] if with_places else []
+        return F.struct(F.get(w, start)["word"].alias("word"), n.alias("n"), F.get(w, start)["pos"].alias("first"), *places)
+
+    return F.zip_with(starts, F.concat(F.slice(starts, 2, size), F.array(size)), entry)
+
+
 def loanword_table(articles: DataFrame, lexicon: DataFrame, id_col: str = "article_id",
                    text_col: str = "text", with_lists: bool = False, top_n: int = 3) -> DataFrame:
     """L4-L6 (and H14's loanword part): per article word count, loanword
@@ -87,30 +106,32 @@ def loanword_table(articles: DataFrame, lexicon: DataFrame, id_col: str = "artic
     ordered loanword list (repeats kept), its distinct sorted set and the
     top ``top_n`` words (ties by first occurrence).
 
-    One scan of the text.  The candidate words are exploded and folded per
-    (article, word) at once, before any shuffle, so token occurrences never
-    cross one; the folded rows meet the vocabulary in a left join and only
-    loanwords (and one row per article, the word it begins with) go on to the
-    fold per article.  Articles without any candidate keep a row with a join
-    key of their own, so they are spread and their count is 0, not missing.
-    Every other column of ``articles`` is carried through unchanged.
+    One scan of the text.  The candidate words of an article are folded to
+    one entry per distinct word inside its row (sorted, run by run), so the
+    first exchange is the one by word, where the entries meet the vocabulary
+    in a left join; only loanwords (and one row per article, the word it
+    begins with) go on to the exchange by id, which the fold per article and
+    a later join on the id (the labels) share.  Articles without any
+    candidate keep a row with a join key of their own, so they are spread and
+    their count is 0, not missing.  Every other column of ``articles`` is
+    carried through unchanged.
     """
     keep = [c for c in articles.columns if c not in (text_col, id_col)]
-    # word count and candidate array are computed once per article, before
-    # the explode; the text itself never reaches a shuffle
-    per_doc = articles.select(id_col, *keep, word_count(text_col).alias("word_count"),
-                              candidate_words(text_col).alias("_cands"))
-    base = per_doc.select(id_col, *keep, "word_count", F.explode_outer("_cands").alias("t"))
-    base = base.select(id_col, *keep, "word_count", F.col("t.pos").alias("pos"), F.col("t.word").alias("word"))
-    # per-article columns are part of the key (functionally dependent on the
-    # id): plain hash aggregation, no sort-based fallback for string buffers
+    # word count and candidate array are computed once per article; the text
+    # itself never reaches a shuffle
+    sorted_words = F.sort_array(F.transform(candidate_words(text_col), lambda c: F.struct(c["word"], c["pos"])))
+    per_doc = articles.select(id_col, *keep, word_count(text_col).alias("word_count"), sorted_words.alias("_words"))
+    per_doc = per_doc.withColumn("_starts", _run_starts("_words"))
+    folded = (per_doc.select(id_col, *keep, "word_count", F.explode_outer(_runs("_words", "_starts", with_lists)).alias("t"))
+              .select(id_col, *keep, "word_count", "t.*"))
     keys = [id_col, *keep, "word_count"]
-    places = [F.collect_list("pos").alias("ps")] if with_lists else []
-    folded = base.groupBy(*keys, "word").agg(F.count("pos").alias("n"), F.min("pos").alias("first"), *places)
     lex = lexicon.select(F.col("word").alias("_w"), F.lit(True).alias("_en"))
     key = F.coalesce("word", F.concat(F.lit("\u0000"), F.col(id_col).cast("string")))
     found = (folded.withColumn("_key", key).join(lex, F.col("_key") == F.col("_w"), "left")
-             .where(F.col("_en") | F.col("word").isNull() | (F.col("first") == 0)))
+             .where(F.col("_en") | F.col("word").isNull() | (F.col("first") == 0))
+             .drop("_key", "_w").repartition(id_col))
+    # per-article columns are part of the key (functionally dependent on the
+    # id): plain hash aggregation, no sort-based fallback for string buffers
     if not with_lists:
         out = found.groupBy(*keys).agg(F.coalesce(F.sum(F.when(F.col("_en"), F.col("n"))), F.lit(0)).cast("bigint").alias("loanword_count"))
     else:
