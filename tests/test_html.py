@@ -82,3 +82,29 @@ def test_media_pages_are_no_articles(spark):
                                   "page_id long, url string, html string")
     assert {r.page_id for r in parse_pages(pages).collect()} == {1, 4}
     assert {r.page_id for r in parse_pages(pages, "https://a.de/").collect()} == {1}
+
+
+def test_tags_and_references_as_a_parser_reads_them(spark):
+    rows = [('<p><a title="a>b">x</a> &#150; &lsqb; &starf; &amp no', "x \u2013 [ \u2605 & no"),
+            ("<p class='1>0' id=it's>eins</p><p data-x=\"<p>\">zwei", "eins zwei"),
+            ('<p title="offen>drei<b>!</b>', "drei!"), ("<p>a < b > c <!-- x > y --> </3>", "a < b > c  "),
+            ("<p>&notin; &notit; &ampx; &lsqb &euro &NotEqualTilde;", "\u2209 \u00acit; &x; &lsqb &euro \u2242\u0338"),
+            ("<p>&#x80;&#0000065&#x00041;&#99999999999;&#129;", "\u20acAA\ufffd\x81"), ("<p a = 'x' b==c d=>k<br/>", "k")]
+    got = spark.createDataFrame(rows, "h string, want string").select(H.paragraph_text(H.paragraphs("h")).alias("v"), "want").collect()
+    assert [r.v for r in got] == [r.want for r in got]
+
+
+def test_every_name_as_the_standard_library_reads_it(spark):
+    import html
+    from html.entities import html5
+
+    texts = [(f"a &{n} b",) for n in html5] + [(f"&{n}x;",) for n in html5] + [(f"&{n.rstrip(';')}",) for n in html5]
+    got = spark.createDataFrame(texts, "t string").select("t", H.decode_entities("t").alias("v")).collect()
+    assert [r.v for r in got] == [html.unescape(r.t) for r in got]
+
+
+def test_a_long_or_broken_tag_is_scanned_once(spark):
+    attributes = " ".join(f'a{i}="{i}"' for i in range(3000))
+    rows = [(f"<p><a {attributes}>x</a>", "x"), (f"<p>y<a {attributes}", f"y<a {attributes}")]
+    got = spark.createDataFrame(rows, "h string, want string").select(H.paragraph_text(H.paragraphs("h")).alias("v"), "want").collect()
+    assert [r.v for r in got] == [r.want for r in got]

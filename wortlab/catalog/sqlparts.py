@@ -61,14 +61,21 @@ from ..operators import filters as _F  # noqa: E402
 from ..sources import tables as _T  # noqa: E402
 
 
-_POINTS = ", ".join(f"'{k}': {v}" for k, v in _H.ENTITY_POINTS.items())
+_NAMED = "MAP {" + ", ".join(f"{_q(k)}: {_q(v)}" for k, v in _H.ENTITIES.items()) + "}"
 
 
 def decode(expr: str) -> str:
+    """Character references: the same table and rules as ``functions.html``, spelled out."""
     found, parts = f"regexp_extract_all({expr}, {_q(_H.ENTITY_RE)}, 1)", f"regexp_split_to_array({expr}, {_q(_H.ENTITY_RE)})"
-    one = (f"CASE WHEN e ILIKE '#x%' THEN chr(CAST('0x' || e[3:] AS INTEGER)) WHEN e LIKE '#%' THEN chr(CAST(e[2:] AS INTEGER)) "
-           f"WHEN e IS NULL THEN '' ELSE coalesce(chr(CAST(MAP {{{_POINTS}}}[e] AS INTEGER)), '&' || e || ';') END")
-    return f"array_to_string(list_transform(list_zip({parts}, {found}), lambda z: z[1] || list_transform([z[2]], lambda e: {one})[1]), '')"
+    point = "coalesce(TRY_CAST(CASE WHEN e ILIKE '#x%' THEN '0x' || rtrim(e, ';')[3:] ELSE rtrim(e, ';')[2:] END AS INTEGER), 0)"
+    number = (f"CASE WHEN {point} BETWEEN 128 AND 159 THEN {_q(_H.WINDOWS_POINTS)}[{point} - 127] "
+              f"WHEN {point} <= 0 OR {point} > 1114111 OR {point} BETWEEN 55296 AND 57343 THEN chr(65533) ELSE chr({point}) END")
+    old = f"regexp_extract(e, {_q(_H.OLD_NAME_RE)}, 0)"
+    one = (f"CASE WHEN e IS NULL THEN '' WHEN e LIKE '#%' THEN {number} "
+           f"ELSE coalesce(CASE WHEN e LIKE '%;' THEN names[rtrim(e, ';')] END, "
+           f"CASE WHEN {old} <> '' THEN names[{old}] || e[length({old}) + 1:] END, '&' || e) END")
+    pieces = f"list_transform(list_zip({parts}, {found}), lambda z: z[1] || list_transform([z[2]], lambda e: {one})[1])"
+    return f"array_to_string({pieces}, '')".replace("names[", f"({_NAMED})[")
 
 
 def strip_sql(expr: str) -> str:
@@ -87,14 +94,18 @@ DPAGES = f"""dpages AS (
   FROM (SELECT *, CAST(2016 + page_id % 8 AS VARCHAR) AS y FROM pages))"""
 
 
+def _re2(pattern: str) -> str:
+    return pattern.replace("*+", "*")
+
+
 def paragraphs_sql(html: str) -> str:
     clean = f"regexp_replace(coalesce({html}, ''), {_q(_H.DROP_RE)}, '', 'g')"
-    return (f"list_transform(regexp_split_to_array({clean}, {_q(_H.P_OPEN_RE)})[2:], "
+    return (f"list_transform(regexp_split_to_array({clean}, {_q(_re2(_H.P_OPEN_RE))})[2:], "
             f"lambda p: regexp_replace(p, {_q(_H.P_END_RE)}, ''))")
 
 
 def strip_tags_sql(expr: str) -> str:
-    return f"regexp_replace({expr}, {_q(_H.TAG_RE)}, '', 'g')"
+    return f"regexp_replace({expr}, {_q(_re2(_H.TAG_RE))}, '', 'g')"
 
 
 def text_sql(ps: str) -> str:

@@ -9,7 +9,7 @@ tag of a block container.
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,11 +18,16 @@ from .text import strip_boundary
 
 # fixed values: patterns of the extraction rules
 DROP_RE = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
-P_OPEN_RE = r"(?i)<p(\s[^>]*)?>"
+# attributes of a tag: a quote opens a value only after "=", and a ">" inside such a value does not end the tag; "*+"
+# keeps Java's matcher off its stack (each character has one way to go, so RE2 reads "*" the same)
+ATTRIBUTES = r"""[^>=]*(?:=\s*(?:"[^"]*"[^>=]*|'[^']*'[^>=]*|[^"'\s>=][^>=]*)?)*+"""
+# the last alternative is for a quote that is never closed
+P_OPEN_RE = rf"(?i)<p(?:[\s/]{ATTRIBUTES})?>|<p\s[^>]*>"
 P_END_RE = (r"(?is)(</p\s*>|<(address|article|aside|blockquote|div|dl|fieldset|footer|form|h[1-6]|header|hr|main"
             r"|nav|ol|pre|section|table|ul)[\s/>]|</(address|article|aside|blockquote|body|div|dl|fieldset|footer"
             r"|form|header|html|main|nav|ol|section|table|td|th|li|ul)\s*>).*$")
-TAG_RE = r"<[^>]*>"
+# a "<" before anything else is text
+TAG_RE = rf"</?[A-Za-z]{ATTRIBUTES}>|<[!?/][^>]*>|<[A-Za-z][^>]*>"
 META_DATE_TAG_RE = r"""(?i)<meta[^>]*property\s*=\s*["']article:published_time["'][^>]*>"""
 OG_TITLE_TAG_RE = r"""(?i)<meta[^>]*property\s*=\s*["']og:title["'][^>]*>"""
 # the value ends at the quote that opened it
@@ -33,23 +38,43 @@ TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
 H1_RE = r"(?is)<h1[^>]*>(.*?)</h1>"
 URL_YEAR_RE = r"/(20[0-9]{2})/"
 AUTHORITY_RE = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
-ENTITY_RE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
-# code points of the named entities, from the standard library's table
-ENTITY_POINTS = {**name2codepoint, "apos": 39}
+ENTITY_RE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]{1,31};?)"
+# the characters of the HTML 5 names, from the standard library's table; the old ones also count without ";"
+ENTITIES = {name[:-1]: chars for name, chars in html5.items() if name.endswith(";")}
+OLD_NAME_RE = "^(?:" + "|".join(sorted((name for name in html5 if not name.endswith(";")), key=lambda n: (-len(n), n))) + ")"
+# what the numbers 128 to 159 stand for: Windows-1252 where that has a character
+WINDOWS_POINTS = "".join(bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(128, 160))
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _character(entity: Column) -> Column:
-    """The character of an entity name or number; an unknown one stays as it is written."""
-    names = F.str_to_map(F.lit("|".join(f"{k}:{v}" for k, v in ENTITY_POINTS.items())), F.lit("[|]"), F.lit(":"))
-    point = (F.when(F.lower(entity).startswith("#x"), F.conv(F.substring(entity, 3, 8), 16, 10))
-             .when(entity.startswith("#"), F.substring(entity, 2, 8)).otherwise(F.try_element_at(names, entity))).try_cast("int")
+def _named(name: Column) -> Column:
+    """The characters of a name, else null: one small literal map per first letter."""
+    out, first = F, F.substring(name, 1, 1)
+    for letter in sorted({n[0] for n in ENTITIES}):
+        pairs = "\u0001".join(f"{n}\u0002{chars}" for n, chars in ENTITIES.items() if n[0] == letter)
+        out = out.when(first == letter, F.try_element_at(F.str_to_map(F.lit(pairs), F.lit("\u0001"), F.lit("\u0002")), name))
+    return out
+
+
+def _numbered(ref: Column) -> Column:
+    """The character of "#8364" or "#x20AC"; a number that is no character gives U+FFFD."""
+    digits = F.regexp_replace(ref, "^#[xX]?0*", "")
+    point = F.when(F.length(digits) <= 7, F.when(F.lower(ref).startswith("#x"), F.conv(digits, 16, 10)).otherwise(digits)).try_cast("int")
     valid = (point > 0) & (point <= 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
-    return (F.when(point.isNull(), F.concat(F.lit("&"), entity, F.lit(";")))
-            .when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")).otherwise("\ufffd"))
+    return (F.when(point.between(128, 159), F.substring(F.lit(WINDOWS_POINTS), point - 127, F.lit(1)))
+             .when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")).otherwise("\ufffd"))
+
+
+def _character(ref: Column) -> Column:
+    """The characters of a reference, given without its "&".  A name without ";" counts where it begins with an old
+    name (the longest one; what follows is text); an unknown one stays as it is written."""
+    whole = F.when(ref.endswith(";"), _named(F.rtrim(ref, F.lit(";"))))
+    old = F.regexp_extract(ref, OLD_NAME_RE, 0)
+    rest = F.when(old != "", F.concat(_named(old), F.substring(ref, F.length(old) + 1, F.length(ref))))
+    return F.when(ref.startswith("#"), _numbered(F.rtrim(ref, F.lit(";")))).otherwise(F.coalesce(whole, rest, F.concat(F.lit("&"), ref)))
 
 
 def decode_entities(c) -> Column:
