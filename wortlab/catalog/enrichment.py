@@ -192,8 +192,7 @@ def sentiment_job(spark, sf_dir):
     """C2 article CSV in, sentiment column added, CSV out."""
     from ..plans.pages import parse_pages
     src, dst = _scratch(spark, "articles-in"), _scratch(spark, "articles-sentiment")
-    FS.write_chart_csv(parse_pages(spread(decorated_pages(spark, sf_dir), "page_id")).select("url", "text"), src,
-                       single_file=False)
+    FS.write_articles_csv(parse_pages(spread(decorated_pages(spark, sf_dir), "page_id")).select("url", "text"), src)
     out = PE.sentiment_job(spark, src, dst, "url STRING, text STRING")
     return out.select("url", "sentiment")
 

@@ -33,20 +33,29 @@ def _built(spark, sf_dir):
 
 @query("read_articles_csv", f"WITH {DPAGES},\n{PARSED}\nSELECT * FROM built_articles")
 def read_articles_csv(spark, sf_dir):
-    """S1 article table through a pandas-style CSV (quotes, newlines) and
+    """S1 article table through an own CSV (quotes, line ends escaped) and
     back under an explicit schema."""
     path = _scratch(spark, "articles-csv")
-    FS.write_chart_csv(_built(spark, sf_dir), path, single_file=False)
+    FS.write_articles_csv(_built(spark, sf_dir), path)
     return FS.read_articles_csv(spark, path, _ART_SCHEMA)
 
 
+@query("read_foreign_csv", f"WITH {DPAGES},\n{PARSED}\nSELECT * FROM built_articles")
+def read_foreign_csv(spark, sf_dir):
+    """S1 the article table as another program writes it (line ends inside
+    quoted cells), taken to Parquet once."""
+    path, table = _scratch(spark, "foreign-csv"), _scratch(spark, "foreign-parquet")
+    FS.write_chart_csv(_built(spark, sf_dir), path, single_file=False)
+    return FS.foreign_csv_to_parquet(spark, path, _ART_SCHEMA, table)
+
+
 @query("write_chart_csv", with_articles(f"""
 SELECT year, {r('avg(loanword_density)', 'loanword_density')} FROM articles WHERE year IS NOT NULL GROUP BY year"""))
 def write_chart_csv(spark, sf_dir):
     """S2 a chart table written as one CSV with header, read back."""
     path = _scratch(spark, "chart-csv")
     FS.write_chart_csv(finish(S.group_mean(loanword_articles(spark, sf_dir), "year", "loanword_density")), path)
-    return FS.read_articles_csv(spark, path, "year INT, loanword_density DOUBLE")
+    return FS.read_foreign_csv(spark, path, "year INT, loanword_density DOUBLE")
 
 
 @query("append_results", f"WITH {DPAGES},\n{PARSED}\nSELECT * FROM built_articles")
@@ -91,7 +100,7 @@ def load_progress(spark, sf_dir):
     a = loanword_articles(spark, sf_dir, with_lists=True)
     prog = a.select("article_id", F.array().cast("array<string>").alias("excluded_loanwords"),
                     F.col("loanwords").alias("refined_loanwords"))
-    FS.write_chart_csv(prog, path, single_file=False)
+    FS.write_articles_csv(prog, path)
     back = FS.load_progress(spark, path)
     return back.select(F.col("article_id").cast("bigint").alias("article_id"),
                        F.array_join("refined_loanwords", " ").alias("refined_loanwords"))
@@ -131,6 +140,18 @@ def skip_done_urls(spark, sf_dir):
     return I.skip_done_urls(_urls(spark, sf_dir), _done_pages(spark, sf_dir))
 
 
+@query("skip_done_bucketed", f"WITH {_URLS_SQL} SELECT url FROM urls WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 3 = 0)")
+def skip_done_bucketed(spark, sf_dir):
+    """J2 / U4 the same against a kept table of done URLs, bucketed by the
+    URL and appended to twice: the resume has no exchange of the done side."""
+    path = _scratch(spark, "done-urls")
+    keys = I.DoneKeys(spark, "wortlab_" + path.rsplit("/", 1)[-1].replace("-", "_"), path, "url", "string")
+    done = _done_pages(spark, sf_dir)
+    keys.append(done.where(F.crc32("url") % 2 == 0))
+    keys.append(done.where(F.crc32("url") % 2 == 1))
+    return I.skip_done_urls(_urls(spark, sf_dir), keys.read())
+
+
 @query("distinct_keys", "SELECT DISTINCT url FROM pages WHERE page_id % 3 = 0")
 def distinct_keys(spark, sf_dir):
     """U4 set of processed keys."""

@@ -1,8 +1,10 @@
 """HTML / URL field extraction (inventory H1-H12) as column expressions.
 
-Regular expressions stand in for an HTML parser; each pattern is written in
-the subset that Java regex and RE2 read alike, so the SQL oracle can use the
-very same patterns.  Paragraph rules follow an HTML5 parser: an unclosed
+Regular expressions stand in for an HTML parser: tags are scanned with their
+quoted attribute values, character references by the HTML 5 names and rules
+(in attribute values as in text).  Each pattern is written in the subset that
+Java regex and RE2 read alike, but for "*+" (see ``ATTRIBUTES``), so the SQL
+oracle can use the very same patterns.  Paragraph rules follow an HTML5 parser: an unclosed
 ``<p>`` ends at the next ``<p>``, at a block-level start tag or at the end
 tag of a block container.
 """

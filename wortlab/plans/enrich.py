@@ -83,9 +83,9 @@ def clean_loanwords(spark: SparkSession, df: DataFrame, progress_path: str, id_c
 def sentiment_job(spark: SparkSession, in_path: str, out_path: str, schema: str, backend: str = "rules") -> DataFrame:
     """C2 read an article CSV, add ``sentiment``, write, read back."""
     arts = FS.read_articles_csv(spark, in_path, schema)
-    out = M.sentiment(arts, "text", "sentiment", backend)
-    FS.write_chart_csv(out.drop("text"), out_path, single_file=False)
-    return spark.read.options(**FS.CSV_OPTIONS).csv(out_path)
+    out = M.sentiment(arts, "text", "sentiment", backend).drop("text")
+    FS.write_articles_csv(out, out_path)
+    return FS.read_articles_csv(spark, out_path, out.schema)
 
 
 def build_articles_full(spark: SparkSession, pages: DataFrame, sf_dir: str, backend: str = "rules") -> DataFrame:

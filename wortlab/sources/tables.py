@@ -70,7 +70,7 @@ def documents_with_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 # quoted title, entities of every kind, white space around a title
 OG_TITLE = """<meta property="og:title" content=" So geht's &amp; mehr: M&uuml;nchen ">"""
 TITLE_START = "<title>\n  "
-ARTICLE_START = "<article><p>M&uuml;nchen &#252;ber &ndash; Stra&szlig;e&nbsp;1 &#x2014; &amp;lt; &unbekannt; &euro;</p>"
+ARTICLE_START = "<article><p>M&uuml;nchen &#252;ber &ndash; Stra&szlig;e&nbsp;1 &#x2014; &amp;lt; &unbekannt; &euro; <a title=\"a>b\">x</a> &#150; &lsqb; &notit; a < b &amp</p>"
 
 
 def decorated_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
