@@ -43,7 +43,8 @@ AUTHORITY_RE = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)"
 ENTITY_RE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]{1,31};?)"
 # the characters of the HTML 5 names, from the standard library's table; the old ones also count without ";"
 ENTITIES = {name[:-1]: chars for name, chars in html5.items() if name.endswith(";")}
-OLD_NAME_RE = "^(?:" + "|".join(sorted((name for name in html5 if not name.endswith(";")), key=lambda n: (-len(n), n))) + ")"
+OLD_NAMES = sorted((name for name in html5 if not name.endswith(";")), key=lambda n: (-len(n), n))
+OLD_NAME_RE = "^(?:" + "|".join(OLD_NAMES) + ")"
 # what the numbers 128 to 159 stand for: Windows-1252 where that has a character
 WINDOWS_POINTS = "".join(bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(128, 160))
 
@@ -52,31 +53,42 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of the value, which is computed once (a lambda's parts are not shared otherwise)."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _named(name: Column) -> Column:
-    """The characters of a name, else null: one small literal map per first letter."""
-    out, first = F, F.substring(name, 1, 1)
-    for letter in sorted({n[0] for n in ENTITIES}):
-        pairs = "\u0001".join(f"{n}\u0002{chars}" for n, chars in ENTITIES.items() if n[0] == letter)
-        out = out.when(first == letter, F.try_element_at(F.str_to_map(F.lit(pairs), F.lit("\u0001"), F.lit("\u0002")), name))
-    return out
+    """The characters of a name, else null: a literal map by the first two letters holds short lines of names."""
+    lines: dict[str, str] = {}
+    for n, chars in ENTITIES.items():
+        lines[n[:2]] = lines.get(n[:2], "") + f"\u0001{n}\u0002{chars}"
+    table = F.str_to_map(F.lit("\u0003".join(f"{k}\u0004{v}" for k, v in lines.items())), F.lit("\u0003"), F.lit("\u0004"))
+    after = F.split_part(F.try_element_at(table, F.substring(name, 1, 2)), F.concat(F.lit("\u0001"), name, F.lit("\u0002")), F.lit(2))
+    return F.nullif(F.substring_index(after, "\u0001", 1), F.lit(""))
 
 
 def _numbered(ref: Column) -> Column:
     """The character of "#8364" or "#x20AC"; a number that is no character gives U+FFFD."""
+    def character(point: Column) -> Column:
+        valid = (point > 0) & (point <= 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+        return (F.when(point.between(128, 159), F.substring(F.lit(WINDOWS_POINTS), point - 127, F.lit(1)))
+                 .when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")).otherwise("\ufffd"))
+
     digits = F.regexp_replace(ref, "^#[xX]?0*", "")
-    point = F.when(F.length(digits) <= 7, F.when(F.lower(ref).startswith("#x"), F.conv(digits, 16, 10)).otherwise(digits)).try_cast("int")
-    valid = (point > 0) & (point <= 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
-    return (F.when(point.between(128, 159), F.substring(F.lit(WINDOWS_POINTS), point - 127, F.lit(1)))
-             .when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")).otherwise("\ufffd"))
+    value = _let(digits, lambda d: F.when(F.length(d) <= 7, F.when(F.lower(ref).startswith("#x"), F.conv(d, 16, 10)).otherwise(d)))
+    return _let(value.try_cast("int"), character)
 
 
 def _character(ref: Column) -> Column:
     """The characters of a reference, given without its "&".  A name without ";" counts where it begins with an old
     name (the longest one; what follows is text); an unknown one stays as it is written."""
-    whole = F.when(ref.endswith(";"), _named(F.rtrim(ref, F.lit(";"))))
-    old = F.regexp_extract(ref, OLD_NAME_RE, 0)
-    rest = F.when(old != "", F.concat(_named(old), F.substring(ref, F.length(old) + 1, F.length(ref))))
-    return F.when(ref.startswith("#"), _numbered(F.rtrim(ref, F.lit(";")))).otherwise(F.coalesce(whole, rest, F.concat(F.lit("&"), ref)))
+    name = F.rtrim(ref, F.lit(";"))
+    olds = F.str_to_map(F.lit("\u0001".join(f"{n}\u0002{ENTITIES[n]}" for n in OLD_NAMES)), F.lit("\u0001"), F.lit("\u0002"))
+    rest = _let(F.regexp_extract(ref, OLD_NAME_RE, 0),
+                lambda old: F.concat(F.try_element_at(olds, old), F.substring(ref, F.length(old) + 1, F.length(ref))))
+    return (F.when(ref.startswith("#"), _numbered(name))
+             .otherwise(F.coalesce(F.when(ref.endswith(";"), _named(name)), rest, F.concat(F.lit("&"), ref))))
 
 
 def decode_entities(c) -> Column:
@@ -138,13 +150,10 @@ def headline(html) -> Column:
     """H7 og:title content (non-empty), else <title> text, else the first <h1>
     text, else null; decoded and stripped.  A present but empty <title> gives ''."""
     h = _c(html)
-    og_tag = F.regexp_extract(h, OG_TITLE_TAG_RE, 0)
-    og = F.when(_attr_content(og_tag) != "", strip_boundary(decode_entities(_attr_content(og_tag))))
-    has_title = h.rlike(TITLE_RE)
-    title = F.when(has_title, strip_boundary(decode_entities(strip_tags(F.regexp_extract(h, TITLE_RE, 1)))))
-    has_h1 = h.rlike(H1_RE)
-    h1 = F.when(has_h1, strip_boundary(decode_entities(strip_tags(F.regexp_extract(h, H1_RE, 1)))))
-    return F.coalesce(og, title, h1)
+    og = F.nullif(_attr_content(F.regexp_extract(h, OG_TITLE_TAG_RE, 0)), F.lit(""))
+    title = F.when(h.rlike(TITLE_RE), strip_tags(F.regexp_extract(h, TITLE_RE, 1)))
+    h1 = F.when(h.rlike(H1_RE), strip_tags(F.regexp_extract(h, H1_RE, 1)))
+    return strip_boundary(decode_entities(F.coalesce(og, title, h1)))
 
 
 def article_date(html, url) -> Column:
