@@ -82,6 +82,14 @@ def summary(spark, sf_dir):
         .select("article_id", "summary")
 
 
+@query("summary_ranked")
+def summary_ranked(spark, sf_dir):
+    """M7 the three sentences that share most words with the others (power
+    iteration; tested against a plain version, no SQL)."""
+    from ..operators.summary import ranked_summary
+    return ranked_summary(_target(spark, sf_dir)).select("article_id", "summary")
+
+
 @query("loanword_context", _w("""
 SELECT article_id, CAST(len(lw) AS VARCHAR) || ' English loanwords; most used: ' || coalesce(top3, '') AS loanword_context FROM enrich_in"""))
 def loanword_context(spark, sf_dir):
