@@ -42,6 +42,33 @@ def test_naive_bayes_without_rows_or_with_too_many_classes(spark):
         LB.fit_naive_bayes(spark.createDataFrame(TRAIN, "label string, text string"), "label", max_classes=1)
 
 
+def sent(node):
+    """Rows that the exchanges of a plan that has run wrote, each exchange once."""
+    name = node.getClass().getSimpleName()
+    if name == "ReusedExchangeExec":
+        return 0
+    below = [node.executedPlan()] if name == "AdaptiveSparkPlanExec" else [node.plan()] if name.endswith("QueryStageExec") else [node.children().apply(i) for i in range(node.children().size())]
+    own = node.metrics().apply("shuffleRecordsWritten").value() if name == "ShuffleExchangeExec" else 0
+    return own + sum(map(sent, below))
+
+
+def test_naive_bayes_sends_words_by_block_not_by_article(spark):
+    """Of 300 articles of the same 60 words no exchange carries a row per article and word, nor one per article and partition."""
+    vocab, articles, blocks = [f"wort{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(60)], 300, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    model = LB.fit_naive_bayes(spark.createDataFrame([("a", " ".join(vocab[:40])), ("b", " ".join(vocab[20:]))], "label string, text string"), "label")
+    found = LB.naive_bayes(spark.createDataFrame([(i, " ".join(vocab)) for i in range(articles)], "article_id long, text string").repartition(4), model)
+    assert len(found.collect()) == articles
+    assert articles < sent(found._jdf.queryExecution().executedPlan()) <= 4 * articles + 3 * blocks * len(vocab)
+
+
+def test_naive_bayes_of_repeated_null_and_text_ids(spark):
+    model = LB.fit_naive_bayes(spark.createDataFrame(TRAIN, "label string, text string"), "label")
+    df = spark.createDataFrame([("x", "markt"), ("x", "tor firma"), (None, "markt markt"), ("y", "markt")], "k string, text string")
+    got = sorted(((r.k or "", r.topic, r.score) for r in LB.naive_bayes(df, model, id_col="k").collect()))
+    want = sorted((k, *brute(TRAIN, t)) for k, t in [("x", "markt tor firma"), ("x", "markt tor firma"), ("", ""), ("y", "markt")])
+    assert got == [(k, y, pytest.approx(s)) for k, y, s in want]
+
+
 def test_learned_sentiment_beats_the_majority_on_held_out_rows(spark):
     rows = E.queries()["sentiment_learned"](spark, SF01).where("held_out AND given IS NOT NULL").select("given", "sentiment").collect()
     right = sum(r.given == r.sentiment for r in rows) / len(rows)

@@ -1,9 +1,9 @@
 """Learned back ends of the topic and sentiment answers (M2, M4, M6).
 
 *Topic*: multinomial naive Bayes as aggregations.  The model is a table with
-one row per word and one add-one smoothed log likelihood per class; scoring
-folds the words of each article, meets the table in one join on the word
-and sums per article.  The classes are bounded (``MAX_CLASSES``, checked);
+one row per word and one count per class, from which the add-one smoothed log
+likelihoods follow; scoring deals the articles to blocks, sends each block the
+table's rows of its own words and sums per article inside the block.  The classes are bounded (``MAX_CLASSES``, checked);
 words and articles are not.
 
 *Sentiment*: hashed words, inverse document frequencies and multinomial logistic regression with
@@ -36,10 +36,12 @@ def model_words(text_col: str) -> Column:
 
 @dataclass
 class BayesModel:
-    """``words``: (word, ll) with one log likelihood per label, in the order of ``labels``; ``priors``: log class shares."""
+    """``words``: (word, counts) with one count per label, in the order of ``labels``; ``priors``: log class shares;
+    ``totals``: add-one smoothed words of a class, so that a word's log likelihood is log((count + 1) / total)."""
 
     labels: list[str]
     priors: list[float]
+    totals: list[float]
     words: DataFrame
 
 
@@ -53,21 +55,37 @@ def fit_naive_bayes(train: DataFrame, label_col: str, text_col: str = "text", ma
     counts = known.select("label", F.explode("words").alias("word")).groupBy("word").agg(
         *[F.count_if(F.col("label") == x).alias(f"c{i}") for i, x in enumerate(labels)] or [F.lit(0).alias("none")]).checkpoint(eager=True)
     size = counts.count()
-    ll = F.array(*[F.log((F.col(f"c{i}") + F.lit(1.0)) / F.lit(float(c["total"] + size))) for i, c in enumerate(classes)]).cast("array<double>")
-    return BayesModel(labels, [math.log(c["n"] / docs) for c in classes], counts.select("word", ll.alias("ll")))
+    vector = F.array(*[F.col(f"c{i}") for i in range(len(labels))]).cast("array<bigint>")
+    return BayesModel(labels, [math.log(c["n"] / docs) for c in classes], [float(c["total"] + size) for c in classes], counts.select("word", vector.alias("counts")))
 
 
 def naive_bayes(df: DataFrame, model: BayesModel, id_col: str = "article_id", text_col: str = "text", out_col: str = "topic") -> DataFrame:
-    """Per row of ``df`` (ids unique): id, label, score (log probability of the label and the words, up to the words' own)."""
+    """Per row of ``df`` (ids unique): id, label, score (log probability of the label and the words, up to the words' own).
+
+    Articles are dealt by id into as many blocks as there are shuffle
+    partitions.  A block asks the model once for each of its words and sums
+    its articles in place: no article meets the model word by word, so no
+    row of class sums is sent per article and partition."""
     n = len(model.labels)
-    words = df.select(id_col, F.explode(model_words(text_col)).alias("word")).groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("n"))
-    sums = words.join(model.words, "word").groupBy(id_col).agg(*[F.sum(F.col("n") * F.get("ll", F.lit(i))).alias(f"s{i}") for i in range(n)] or [F.lit(0).alias("none")])
-    scored = df.select(id_col).join(sums, id_col, "left")
-    entries = [F.struct((-(F.coalesce(F.col(f"s{i}"), F.lit(0.0)) + F.lit(model.priors[i]))).alias("cost"), F.lit(x).alias("label")) for i, x in enumerate(model.labels)]
-    if not entries:
+    if not n:
         return df.select(id_col, F.lit(None).cast("string").alias(out_col), F.lit(None).cast("double").alias("score"))
-    best = F.array_min(F.array(*entries))
-    return scored.select(id_col, best["label"].alias(out_col), (-best["cost"]).alias("score"))
+    blocks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = (df.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.array_join(model_words(text_col), " ").alias("words"))
+             .withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).repartitionById(blocks, F.col("block")))
+    said = texts.select("block", "id", F.explode(F.split("words", " ")).alias("word")).where("word != ''")
+    words = said.groupBy("block", "id", "word").agg(F.count(F.lit(1)).alias("n"))
+    # the greatest id is never null; reading it keeps the columns of both uses of ``texts`` alike, so that they share one exchange
+    asked = said.groupBy("block", "word").agg(F.max("id").alias("last")).where("last IS NOT NULL").select("block", "word")
+    ll = F.array(*[F.log((F.get("counts", F.lit(i)) + F.lit(1.0)) / F.lit(t)) for i, t in enumerate(model.totals)])
+    told = asked.join(model.words, "word").repartitionById(blocks, F.col("block")).select("word", "block", ll.alias("ll"))     # small counts are sent, not doubles
+    sums = words.join(told, ["word", "block"]).groupBy("block", "id").agg(*[F.sum(F.col("n") * F.get("ll", F.lit(i))).alias(f"s{i}") for i in range(n)])
+
+    def best(sums: list[Column]) -> Column:
+        return F.array_min(F.array(*[F.struct((-(s + F.lit(p))).alias("cost"), F.lit(x).alias("label")) for s, p, x in zip(sums, model.priors, model.labels)]))
+
+    found = sums.select(F.col("id").alias(id_col), best([F.col(f"s{i}") for i in range(n)]).alias("best"))
+    scored = df.select(id_col).join(found, id_col, "left").select(id_col, F.coalesce("best", best([F.lit(0.0)] * n)).alias("best"))
+    return scored.select(id_col, F.col("best.label").alias(out_col), (-F.col("best.cost")).alias("score"))
 
 
 # ------------------------------------------------------- logistic regression
