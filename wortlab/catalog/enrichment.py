@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import enrich as M
 from ..operators import loanwords as L
+from ..operators import summary as SU
 from ..plans import enrich as PE
 from ..plans.crawl import fresh_dir
 from ..plans.articles import TARGET_LANG
@@ -82,12 +83,35 @@ def summary(spark, sf_dir):
         .select("article_id", "summary")
 
 
-@query("summary_ranked")
+SUMMARY_K, SUMMARY_PART = 3, 40
+
+# every level ranks the parts of a text and keeps their best sentences, until no more than asked for are left
+_RANKED_SQL = f"""WITH RECURSIVE {_TARGET_SQL},
+cut AS (SELECT row_number() OVER () AS rid, article_id,
+               list_filter(list_transform(regexp_extract_all(coalesce(text, ''), {_q(M.SENTENCE_RE)}),
+                                          lambda s: regexp_replace(s, '^[\\s\\x0B\\x{{85}}\\p{{Z}}]+|[\\s\\x0B\\x{{85}}\\p{{Z}}]+$', '', 'g')), lambda s: s <> '') AS s FROM tgt),
+lvl AS (
+  SELECT rid, article_id, list_transform(s, lambda x, i: {{'pos': i, 's': x}}) AS items FROM cut
+  UNION ALL
+  SELECT rid, article_id, flatten(list(best ORDER BY start)) FROM (
+    SELECT rid, article_id, start, CASE WHEN len(part) <= {SUMMARY_K} THEN part ELSE
+             list_sort(list_transform(list_sort(list_transform(part, lambda x, i: {{'r': -round(ranks[i], {SU.PLACES}), 'x': x}}))[1:{SUMMARY_K}], lambda y: y.x)) END AS best
+    FROM (SELECT *, list_reduce(list_prepend(list_transform(part, lambda x: CAST(1.0 AS DOUBLE)), list_transform(range({SU.ROUNDS}), lambda x: CAST([] AS DOUBLE[]))),
+                                lambda acc, x: list_transform(links, lambda row: {1 - SU.DAMPING} + {SU.DAMPING} * list_dot_product(row, acc))) AS ranks
+    FROM (SELECT *, list_transform(w, lambda row: list_transform(row, lambda x, j: CASE WHEN totals[j] > 0 THEN x / totals[j] ELSE CAST(0.0 AS DOUBLE) END)) AS links
+    FROM (SELECT *, list_transform(w, lambda row: list_sum(row)) AS totals
+    FROM (SELECT *, list_transform(words, lambda a, i: list_transform(words, lambda b, j: CASE WHEN i = j THEN CAST(0.0 AS DOUBLE) ELSE CAST(len(list_intersect(a, b)) AS DOUBLE) END)) AS w
+    FROM (SELECT *, list_transform(part, lambda x: list_distinct(list_filter(regexp_extract_all(lower(x.s), {_q(M.WORD_RE)}), lambda v: length(v) >= {SU.MIN_LETTERS}))) AS words
+    FROM (SELECT *, items[start + 1:start + {SUMMARY_PART}] AS part
+    FROM (SELECT rid, article_id, items, unnest(range(0, len(items), {SUMMARY_PART})) AS start FROM lvl WHERE len(items) > {SUMMARY_K}))))))))
+  GROUP BY rid, article_id)
+SELECT article_id, array_to_string(list_transform(items, lambda x: x.s), ' ') AS summary FROM lvl WHERE len(items) <= {SUMMARY_K}"""
+
+
+@query("summary_ranked", _RANKED_SQL)
 def summary_ranked(spark, sf_dir):
-    """M7 the three sentences that share most words with the others (power
-    iteration; tested against a plain version, no SQL)."""
-    from ..operators.summary import ranked_summary
-    return ranked_summary(_target(spark, sf_dir)).select("article_id", "summary")
+    """M7 the three sentences that share most words with the others (power iteration)."""
+    return SU.ranked_summary(_target(spark, sf_dir), k=SUMMARY_K, part=SUMMARY_PART).select("article_id", "summary")
 
 
 @query("loanword_context", _w("""
